@@ -2,16 +2,47 @@
 
 from __future__ import annotations
 
-from tramline.llm import exact_dedup
+from tramline.llm import exact_dedup, ngram_join, packing, pii, toxicity
 from tramline.llm.shared import documents
 
 
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def _table(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(documents(spark, sf_dir))
+
+
+def op4_packing(spark, sf_dir):
+    return packing.digest(packing.pack(documents(spark, sf_dir), tokenizer("word_bpe_49k.json")))
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op7_pii(spark, sf_dir):
+    return pii.digest(pii.find_personal_data(documents(spark, sf_dir)))
+
+
+def op8_toxicity(spark, sf_dir):
+    return toxicity.score_toxicity(documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
+    "op4_packing": op4_packing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_pii": op7_pii,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLES = {
