@@ -169,3 +169,30 @@ def test_toxicity(spark):
     assert score_toxicity(none, labels).count() == 0
     assert {r.score < 0.01 for r in score_toxicity(table(spark, ODD), labels.limit(0)).collect()} == {True}
     assert without_toxic(table(spark, ODD), labels).count() == len(ODD)
+
+
+@pytest.mark.parametrize(("window", "anchor"), [(50, 10), (6, 2)])
+def test_substring_dedup(spark, window, anchor):
+    from tramline.llm.substring_dedup import digest, without_repeats
+
+    rows = ODD + [(1000 + i, t) for i, t in real(spark)] + [(400 + i, "start " * (i % 3) + BASE + " x" * i + " " + BASE[10 * i :]) for i in range(12)] + [(390, "a b c " * 80), (391, "b c a " * 70)]
+    got = sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in digest(without_repeats(table(spark, rows), window, anchor)).collect())
+    first = {}
+    big = 2**63 - 1
+    for i, t in rows:
+        w = words(t)
+        for k in range(len(w) - window + 1):
+            key = tuple(w[k : k + window])
+            first[key] = min(first.get(key, big), big if i is None else i)
+    want = []
+    for i, t in rows:
+        w = words(t)
+        gone = set()
+        for k in range(len(w) - window + 1):
+            if first[tuple(w[k : k + window])] < (big if i is None else i):
+                gone.update(range(k, k + window))
+        stay = [x for k, x in enumerate(w) if k not in gone]
+        want.append((str(i), len(w), len(gone), hashlib.sha256(" ".join(stay).encode()).hexdigest()))
+    assert got == sorted(want)
+    assert sum(r[2] > 0 for r in want) > 5
+    assert without_repeats(table(spark, [])).count() == 0

@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -73,7 +72,7 @@ def _linked(a: list[np.ndarray], b: list[np.ndarray] | None, num: int, den: int)
     An inverted index over n-grams that two sets have: work follows the n-grams shared, no matrix is made.
     """
     other = a if b is None else b
-    sizes = np.array([len(x) for x in other])
+    sizes = np.array([len(x) for x in other], np.int64)
     grams = np.concatenate(other) if other else np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(len(other)), sizes)
     order = np.argsort(grams, kind="stable")
@@ -148,12 +147,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, rows: i
     share = Fraction(str(threshold))
     out = T.StructType([T.StructField("a", kinds.schema["k"].dataType), T.StructField("b", kinds.schema["k"].dataType), T.StructField("links", T.LongType())])
 
-    def compare(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        _, p, q = key
-        pdf = pdf.sort_values("k", key=lambda s: s.map(lambda k: (k["text_id"], k["hi"], k["lo"])), ignore_index=True)
-        grams, starts = shingles(pa.array(pdf["text"], pa.string()), n)
-        sets = [grams[starts[i] : starts[i + 1]] for i in range(len(pdf))]
-        size, root, links = pdf["size"].to_numpy(), np.arange(len(pdf)), np.zeros(len(pdf), np.int64)
+    def compare(key, group):
+        p, q = (x.as_py() for x in key[1:])
+        group = group.combine_chunks()
+        fields = group.column("k").chunk(0).flatten()
+        group = group.take(pa.array(np.lexsort([f.to_numpy(zero_copy_only=False) for f in reversed(fields)])))
+        k, part = group.column("k").combine_chunks(), group.column("part").to_numpy()
+        grams, starts = shingles(group.column("text").combine_chunks(), n)
+        sets = [grams[starts[i] : starts[i + 1]] for i in range(len(k))]
+        size, root, links = group.column("size").to_numpy(), np.arange(len(k)), np.zeros(len(k), np.int64)
 
         def top(i):
             while root[i] != i:
@@ -161,7 +163,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, rows: i
                 i = root[i]
             return i
 
-        left, right = (np.flatnonzero(pdf["part"] == x) for x in (p, q))
+        left, right = (np.flatnonzero(part == x) for x in (p, q))
         for i, found in _linked([sets[x] for x in left], None if p == q else [sets[x] for x in right], share.numerator, share.denominator):
             i, found = left[i], right[found]
             links[i] += size[found].sum()
@@ -171,10 +173,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, rows: i
                 x, y = top(i), top(j)
                 root[max(x, y)] = min(x, y)
         hit = np.flatnonzero(links)
-        k = pdf["k"]
-        return pd.DataFrame({"a": [k[i] for i in hit], "b": [k[top(i)] for i in hit], "links": links[hit]}, columns=["a", "b", "links"])
+        to = np.array([top(i) for i in hit], np.int64)
+        return pa.Table.from_arrays([k.take(pa.array(hit)), k.take(pa.array(to)), pa.array(links[hit])], ["a", "b", "links"])
 
-    linked = staged(dealt.groupBy("component", "p", "q").applyInPandas(compare, out))
+    linked = staged(dealt.groupBy("component", "p", "q").applyInArrow(compare, out))
     classes = components(linked.select("a", "b")).select(F.col("node").alias("k"), "component")
     counted = linked.groupBy(F.col("a").alias("k")).agg(F.sum("links").alias("links"))
     known = staged(kinds.drop("bands", "th").join(classes, "k", "left").join(counted, "k", "left").select("hi", "lo", "n", "text_id", "size", F.coalesce("component.text_id", "text_id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links")))

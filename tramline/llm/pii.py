@@ -164,23 +164,24 @@ def sanitised(docs: DataFrame, **parameters) -> DataFrame:
 
     All columns of `docs` stay; text is rewritten, and n_chars where there is one.
     """
-    spans = find_personal_data(docs, **parameters).where(F.size("spans") > 0).select("doc_id", "th", "spans").distinct()
+    found = find_personal_data(docs, **parameters).where(F.size("spans") > 0).select("doc_id", "th", "spans").distinct()
     label = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+    # Columns of docs travel as one struct, so that no name of theirs can clash.
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("body")).withColumn("key", F.xxhash64("body"))
+    joined = rows.join(found, rows["id"].eqNullSafe(found["doc_id"]) & (rows["key"] == found["th"]), "left")
 
     def step(a, s):
         place = F.when(s["kind"] < 4, F.element_at(label, s["kind"] + 1)).when(s["value"] == "remove", "[REMOVED]").otherwise("[TERM]")
-        gap = F.when(s["start"] >= a["at"], F.concat(F.substring("text", a["at"] + 1, s["start"] - a["at"]), place)).otherwise("")
+        gap = F.when(s["start"] >= a["at"], F.concat(F.substring("body", a["at"] + 1, s["start"] - a["at"]), place)).otherwise("")
         return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.concat(a["out"], gap).alias("out"))
 
-    rest = lambda a: F.concat(a["out"], F.substring("text", a["at"] + 1, F.length("text")))
+    rest = lambda a: F.concat(a["out"], F.substring("body", a["at"] + 1, F.length("body")))
     clean = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, rest)
-    d = docs.withColumn("_th", F.xxhash64(F.coalesce("text", F.lit("")))).alias("d")
-    s = spans.select(F.col("doc_id").alias("_id"), F.col("th").alias("_sth"), "spans").alias("s")
-    joined = d.join(s, F.col("d.doc_id").cast("long").eqNullSafe(F.col("s._id")) & (F.col("d._th") == F.col("s._sth")), "left")
-    out = joined.withColumn("text", F.when(F.col("spans").isNotNull(), clean).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("spans").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    text = F.when(F.col("spans").isNotNull(), clean).otherwise(F.col("row.text"))
+    out = joined.select("row", F.col("spans").isNotNull().alias("changed"), text.alias("clean"))
+    length = F.when(F.col("changed"), F.length("clean").cast("long")).otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None
+    new = {"text": F.col("clean"), "n_chars": length}
+    return out.select(*[new[c].alias(c) if new.get(c) is not None else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def digest(found: DataFrame) -> DataFrame:

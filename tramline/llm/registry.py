@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tramline.llm import exact_dedup, ngram_join, packing, pii, toxicity
+from tramline.llm import exact_dedup, ngram_join, packing, pii, substring_dedup, toxicity
 from tramline.llm.shared import documents
 
 
@@ -37,12 +37,17 @@ def op8_toxicity(spark, sf_dir):
     return toxicity.score_toxicity(documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
+def op10_substring_dedup(spark, sf_dir):
+    return substring_dedup.digest(substring_dedup.without_repeats(documents(spark, sf_dir)))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op4_packing": op4_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_pii": op7_pii,
     "op8_toxicity": op8_toxicity,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLES = {
