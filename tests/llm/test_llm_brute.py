@@ -57,7 +57,7 @@ def test_ngram_join(spark):
 
     rows = ODD + [(200 + i, BASE + " " + " ".join(f"w{j}" for j in range(i))) for i in range(8)] + [(1000 + i, t) for i, t in real(spark)]
     for block in (400_000, 60):
-        found = [tuple(r) for r in near_duplicates(table(spark, rows), block=block).collect()]
+        found = [tuple(r)[:4] for r in near_duplicates(table(spark, rows), block=block).collect()]
         sets = []
         for _, t in rows:
             w = words(t)
@@ -196,3 +196,124 @@ def test_substring_dedup(spark, window, anchor):
     assert got == sorted(want)
     assert sum(r[2] > 0 for r in want) > 5
     assert without_repeats(table(spark, [])).count() == 0
+
+
+def test_lm_scoring(spark):
+    import math
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from tramline.llm.lm import score_documents
+
+    rows = ODD + [(1000 + i, t) for i, t in real(spark)]
+    held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    out = score_documents(table(spark, rows), held, vocabulary=200, per=20, hidden=16, block_bytes=60_000, part_types=500).collect()
+    toks = [(i, [*("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in words(t)), "\n"]) for i, t in rows]
+    is_held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    c = Counter(w for i, t in toks if not is_held(i) for w in t)
+    n, v = sum(c.values()), len(c)
+    want = sorted((str(i), is_held(i), len(t), sum(c[w] > 0 for w in t), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), 4)) for i, t in toks)
+    assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in out) == want
+    mine = [r for r in out if r.held_out]
+    assert sum(r.score for r in mine) > sum(r.base_score for r in mine)
+    assert all(r.score < 0 for r in out)
+    assert score_documents(table(spark, []), held).count() == 0
+    assert len(score_documents(table(spark, [(1, None)]), F.lit(True)).collect()) == 1
+
+
+def test_model_is_a_distribution():
+    import numpy as np
+
+    from tramline.llm.gru import Model
+
+    m = Model(np.array([9.0, 5, 4, 2, 1]), np.array([3.0, 1]), 2, 8, 0)
+    rng = np.random.default_rng(0)
+    seq, sizes = rng.integers(0, 7, 900).astype(np.int32), np.array([300, 1, 0, 599])
+    m.train(seq, sizes, 0, 1, lanes=4, steps=8)
+    h = rng.standard_normal((1, 8)).astype(np.float32)
+    assert abs(np.exp([m.log_probabilities(h, np.array([y]))[0] for y in range(7)]).sum() - 1) < 1e-5
+    # Windows and lanes change nothing: the state is carried through the whole document.
+    one = m.score(seq, sizes, 0, lanes=1, steps=1000)
+    assert np.allclose(one, m.score(seq, sizes, 0, lanes=3, steps=7), rtol=1e-4) and one[2] == 0
+
+
+def test_nearest_neighbours(spark):
+    import numpy as np
+
+    from tramline.llm.ann import nearest_neighbours
+
+    rng = np.random.default_rng(0)
+    x = rng.standard_normal((1500, 24))
+    x[700:760] = x[700]
+    rows = [(i, [float(v) for v in r], 1, 2) for i, r in enumerate(x)]
+    rows += [(2000, None, 1, 1), (2100, [0.0] * 24, 1, 1), (2200, [float("nan")] * 24, 1, 1), (2300, [None] * 24, 1, 1), (2400, [1.0, 2.0], 1, 1), (2401, [1.0, 2.5], 1, 1), (None, [1.0] * 24, 1, 1), rows[5]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, cell int, id int")
+    got = defaultdict(list)
+    for r in nearest_neighbours(df, part=300).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+        assert r["rank"] == len(got[r.query_id])
+    assert [v for v, _ in got.pop(2400)] == [2401]
+    assert sorted(got) == list(range(0, 1500, 100))
+    hit = 0
+    for q, found in got.items():
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[q] = np.inf
+        want = np.lexsort((np.arange(len(x)), d))[:10].tolist()
+        hit += len({v for v, _ in found} & set(want))
+        assert len(found) == 10 and all(abs(s - d[v]) < 1e-9 for v, s in found) and found == sorted(found, key=lambda f: (f[1], f[0]))
+        if q == 700:
+            assert [v for v, _ in found] == list(range(701, 711))
+    assert hit >= 0.9 * 10 * len(got)
+    few = nearest_neighbours(df.where("vec_id < 4")).collect()
+    assert sorted((r.query_id, r.vec_id) for r in few) == [(0, 1), (0, 2), (0, 3)]
+    assert nearest_neighbours(df.limit(0)).count() == 0
+
+
+def test_licences(spark):
+    from tramline.llm.licences import TEMPLATES, bigrams, scan_licences
+
+    mit = TEMPLATES["MIT"]
+    rows = ODD + [(40, f"Intro text of a page.\n{mit[:200]}\n{mit[200:]}\nAnd more of it."), (41, "x\nReleased under the MIT License.\ny\nLicensed under CC BY-NC 4.0."), (42, "licensed, under: the MIT license"), (43, TEMPLATES["BSD-3-Clause"]), (44, "MIT")]
+    got = {r.doc_id: r for r in scan_licences(table(spark, rows)).collect() if r.doc_id is not None}
+    assert got[40].licence == "MIT" and got[40].dice > 0.95
+    assert [m.licence for m in got[41].matches] == ["MIT notice", "CC-BY-NC-4.0 notice"] and got[41].matches[0].start == 2
+    assert got[42].licence == "MIT notice (licensed)" and got[43].licence == "BSD-3-Clause" and got[44].licence is None
+    assert all(got[i].licence is None for i in (1, 3, 5, 7, 9, 11, 12))
+    word = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
+    for i, t in real(spark):
+        lines = [bigrams(word.findall(x.lower())) for x in t.split("\n")]
+        best = max((2 * len(g & s) / (len(g) + len(s)) for g in lines if g for s in (bigrams(word.findall(x.lower())) for x in TEMPLATES.values())), default=0)
+        (r,) = scan_licences(table(spark, [(i, t)])).collect() if best >= 0.9 else [None]
+        assert r is None or abs(r.dice - best) < 1e-12
+
+
+def test_pieces(spark):
+    import numpy as np
+    import public_tokenizers
+
+    from tramline.llm.pieces import decode, digest, encode, pieces
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    p = pieces(path)
+    rows = ODD + [(50, "▁▁x ▁ \r\n  \x00 😀  "), (51, " " * 9), (52, "ab" * 9000)] + [(1000 + i, t) for i, t in real(spark, 30)]
+    out = digest(decode(encode(table(spark, rows), path), path)).collect()
+    assert len(out) == len(rows) and all(r.exact for r in out)
+    assert sorted(r.decoded_sha256 for r in out) == sorted(hashlib.sha256((t or "").encode()).hexdigest() for _, t in rows)
+
+    def best(t):
+        t, n = " " + t, len(t) + 1
+        score = [0.0] + [-np.inf] * n
+        for i in range(1, n + 1):
+            for k in range(max(0, i - p.reach), i):
+                hit = p.ids.get(t[k:i])
+                score[i] = max(score[i], score[k] + (hit[0] if hit else p.fallback if k == i - 1 else -np.inf))
+        return score[n]
+
+    by_id = {i: (piece, s) for piece, (s, i) in p.ids.items()}
+    for _, t in rows[-12:]:
+        t = t[:1500]
+        ids = p.encode(t).tolist()
+        assert b"".join(p.out[i] for i in ids).decode()[1:] == t
+        if all(i in by_id for i in ids):
+            assert sum(by_id[i][1] for i in ids) == best(t)

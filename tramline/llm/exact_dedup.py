@@ -78,6 +78,24 @@ def exact_dedup(docs: DataFrame, capacity: int = 512, max_depth: int = 12, key_b
     )
 
 
+def one_of_each(docs: DataFrame, **parameters) -> DataFrame:
+    """Rows of `docs` that stay, all columns kept; of rows that share doc_id and text one stays.
+
+    Only rows that are to go or are repeated are told apart by their text again; the rest is read and passed on.
+    """
+    found = exact_dedup(docs, **parameters)
+    gone = found.where(~F.col("kept")).select("doc_id", "text_sha256").distinct()
+    again = found.where(F.col("kept")).groupBy("doc_id", "text_sha256").agg(F.count("*").alias("c")).where("c > 1").select("doc_id", "text_sha256")
+    marks = staged(gone.withColumn("again", F.lit(False)).unionByName(again.withColumn("again", F.lit(True))))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.sha2(normalised(), 256).alias("sha"))
+    marked = rows.join(marks, rows["id"].eqNullSafe(marks["doc_id"]) & (rows["sha"] == marks["text_sha256"]), "left")
+    back = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    rest = marked.where("again IS NULL").select(*back)
+    if marks.where("again").isEmpty():
+        return rest
+    return rest.unionByName(marked.where("again").dropDuplicates(["id", "sha"]).select(*back))
+
+
 ORACLE = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tramline.llm.graph import components
-from tramline.llm.shared import Words, keyed, mix, order_id, slices, staged
+from tramline.llm.shared import Words, keyed, mix, order_id, slices, staged, without
 
 _U = np.uint64
 SIGNED = T.StructType(
@@ -89,7 +89,7 @@ def _linked(a: list[np.ndarray], b: list[np.ndarray] | None, num: int, den: int)
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, rows: int = 5, recall: float = 0.998, seed: int = 7, block: int = 400_000) -> DataFrame:
-    """One row per row of `docs`: doc_id, class_id, text_id, n_links.
+    """One row per row of `docs`: doc_id, class_id, text_id, n_links, th (hash of the text).
 
     Two texts are linked if the Jaccard similarity of their sets of n-grams of words (case and punctuation count)
     is at least `threshold`. class_id is the smallest doc_id that links lead to, text_id the smallest doc_id with
@@ -181,18 +181,19 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, rows: i
     counted = linked.groupBy(F.col("a").alias("k")).agg(F.sum("links").alias("links"))
     known = staged(kinds.drop("bands", "th").join(classes, "k", "left").join(counted, "k", "left").select("hi", "lo", "n", "text_id", "size", F.coalesce("component.text_id", "text_id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links")))
     null = lambda c: F.expr(f"nullif({c}, {2**63 - 1})")
-    rows_ = signed.select("doc_id", "hi", "lo", "n").join(known, ["hi", "lo", "n"], "left")
+    rows_ = signed.select("doc_id", "th", "hi", "lo", "n").join(known, ["hi", "lo", "n"], "left")
     own = F.col("n") == 0
     return rows_.select(
         "doc_id",
         F.when(own, F.col("doc_id")).otherwise(null("class_id")).alias("class_id"),
         F.when(own, F.col("doc_id")).otherwise(null("text_id")).alias("text_id"),
         F.when(own, F.lit(0)).otherwise(F.col("size") - 1 + F.col("links")).cast("long").alias("n_links"),
+        "th",
     )
 
 
 def one_of_each(docs: DataFrame, **parameters) -> DataFrame:
     """Rows of `docs` that are the smallest of their class, all columns kept."""
     found = near_duplicates(docs, **parameters)
-    drop = found.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(drop, docs["doc_id"].eqNullSafe(drop["_id"]), "left_anti")
+    drop = found.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("id"), F.col("th").alias("key")).distinct()
+    return without(docs, drop)

@@ -42,6 +42,13 @@ def keyed(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"), *more)
 
 
+def without(docs: DataFrame, drop: DataFrame) -> DataFrame:
+    """Rows of `docs`, all columns kept, whose doc_id and text hash are not among `drop` (id, key)."""
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("key"))
+    left = rows.join(drop, rows["id"].eqNullSafe(drop["id"]) & (rows["key"] == drop["key"]), "left_anti")
+    return left.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
 def order_id(c: str | Column = "doc_id") -> Column:
     """A null doc_id sorts after every other."""
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(_LAST_ID))
@@ -91,8 +98,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Words:
     """Words of a batch of texts: byte range, 64-bit hash, and for each text the range of its words."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, lower: bool = False):
+        """lower: A-Z count as a-z."""
         data, offs = utf8(texts)
+        if lower:
+            data = data + (((data >= 65) & (data <= 90)).view(np.uint8) << 5)
         n = len(data)
         self.data, self.offs = data, offs
         solid = ~_IS_SPACE[data]
