@@ -6,12 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.shared import Words, keyed, mix, order_id, slices, staged
+from tramline.llm.shared import Words, keyed, mix, order_id, slices, staged, utf8
 
 BLOCKS = "id long, th long, start int, runs int, anchor long, body long"
 WINDOWS = "id long, th long, start int, anchor long, body long"
@@ -65,7 +64,7 @@ def covered_words(n: int, starts: np.ndarray, runs: np.ndarray, window: int) ->
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdCompressor(level=3).compress
     for b in slices(batches):
-        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), b.column("doc_id"), pa.array([press(t.encode()) for t in b.column("text").to_pylist()], pa.binary())], ["id", "th", "doc_id", "packed"])
+        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), b.column("doc_id"), pa.array([press(t.encode()) for t in b.column("text").to_pylist()], pa.binary()), pa.array(np.diff(utf8(b.column("text"))[1]))], ["id", "th", "doc_id", "packed", "bytes"])
 
 
 def _texts(column: pa.Array) -> pa.Array:
@@ -73,10 +72,10 @@ def _texts(column: pa.Array) -> pa.Array:
     return pa.array([unpress(x) for x in column.to_pylist()], pa.binary()).cast(pa.large_string(), safe=False)
 
 
-def _small(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches cut by their packed bytes; a longer text stands alone."""
+def _small(batches: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """Batches cut by the bytes that their texts unpack to; a longer text stands alone."""
     for b in batches:
-        ends = np.cumsum(pc.binary_length(b.column("packed")).to_numpy(zero_copy_only=False)) if b.num_rows else []
+        ends = np.cumsum(b.column("bytes").to_numpy())
         at = 0
         while at < b.num_rows:
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
@@ -120,7 +119,7 @@ def without_repeats(docs: DataFrame, window: int = 50, anchor: int = 10) -> Data
     mixed = least.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
     edges = least.join(mixed, "anchor").withColumnRenamed("least", "id")
     edges = blocks.join(edges, ["anchor", "body", "id"]).groupBy("id", "th").agg(F.collect_set(F.struct("start", "runs", "anchor")).alias("at"))
-    packed = texts.select("id", "th", "doc_id", "text").mapInArrow(_packed, "id long, th long, doc_id long, packed binary")
+    packed = texts.select("id", "th", "doc_id", "text").mapInArrow(_packed, "id long, th long, doc_id long, packed binary, bytes long")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _small(batches):
@@ -137,7 +136,7 @@ def without_repeats(docs: DataFrame, window: int = 50, anchor: int = 10) -> Data
                 s = slice(k, k + 100_000)
                 yield pa.RecordBatch.from_arrays([b.column("id").take(to[s]), b.column("th").take(to[s]), pa.array(start[s].astype(np.int32)), pa.array(anchors[s]), pa.array(body[s].view(np.int64))], ["id", "th", "start", "anchor", "body"])
 
-    open_ = staged(packed.dropDuplicates(["id", "th"]).join(edges, ["id", "th"]).select("id", "th", "packed", "at").mapInArrow(windows, WINDOWS))
+    open_ = staged(packed.dropDuplicates(["id", "th"]).join(edges, ["id", "th"]).select("id", "th", "packed", "bytes", "at").mapInArrow(windows, WINDOWS))
     first = open_.groupBy("anchor", "body").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("anchor", "body", "least")
     single = open_.join(first, ["anchor", "body"]).where("least < id").select("id", "th", "start", F.lit(1).alias("runs"))
 
@@ -158,7 +157,7 @@ def without_repeats(docs: DataFrame, window: int = 50, anchor: int = 10) -> Data
                     col.append(v)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
-    return packed.join(spans, ["id", "th"], "left").select("doc_id", "packed", "spans").mapInArrow(kept, "doc_id long, n_words long, n_removed long, kept string")
+    return packed.join(spans, ["id", "th"], "left").select("doc_id", "packed", "bytes", "spans").mapInArrow(kept, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def digest(found: DataFrame) -> DataFrame:
