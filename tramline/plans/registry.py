@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,8 +19,11 @@ from tramline.operators import schedules as SC
 from tramline.operators import serving as V
 from tramline.operators import windows as W
 from tramline.plans import oracles as O
-from tramline.plans.adapter import observations, observed, one_day, schedule, stop_times, table
+from tramline.plans.adapter import as_events, observations, observed, one_day, schedule, stop_times, table
 from tramline.plans.config import WINDOW_KEY, Settings
+from tramline.plans.model import METRIC
+from tramline.streaming import processors as SP
+from tramline.streaming import runner as ST
 
 SIX = Settings(window=O.H6, lookback=O.H48)
 FIVE = Settings()
@@ -479,3 +484,58 @@ def serving_gauges(spark, d):
 @query(f"WITH {O.OBS} SELECT route_id, max(observed_at) AS newest FROM obs GROUP BY ALL")
 def newest_observation(spark, d):
     return observed(table(spark, d, "events")).groupBy("route_id").agg(F.max("observed_at").alias("newest"))
+
+
+# ---- streams: the same tables read as a stream, run until all is read ---------------------------------
+
+
+def _stream(spark, d):
+    schema = table(spark, d, "events").schema
+    return as_events(observed(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)))
+
+
+def _folder(spark) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints"
+    return f"{root.rstrip('/')}/tramline-stream-{uuid.uuid4().hex}"
+
+
+def _run(rows, write=None, path=None, root=None):
+    ST.start(rows, "windows", f"{root}/checkpoint", write, path, {"availableNow": True}).awaitTermination()
+
+
+_CLOSED = "observed_at - observed_at % 300000 + 300000 + 120000 <= (SELECT max(observed_at) FROM obs) - 30000"
+
+
+@query(f"WITH {O.OBS} SELECT event_id, observed_at, 'admitted' AS outcome FROM obs")
+def stream_admission(spark, d):
+    root = _folder(spark)
+    rows = SP.admit(_stream(spark, d).select("event_id", "observed_at", "route_id"), FIVE)
+    _run(rows, path=f"{root}/out", root=root)
+    return spark.read.schema(rows.schema).parquet(f"{root}/out").select("event_id", "observed_at", "outcome")
+
+
+@query(f"WITH {O.OBS} SELECT event_id, observed_at FROM obs WHERE {_CLOSED}")
+def stream_final_windows(spark, d):
+    root = _folder(spark)
+    rows = SP.final_windows(_stream(spark, d), FIVE).select("event_id", "observed_at")
+    _run(rows, path=f"{root}/out", root=root)
+    return spark.read.schema(rows.schema).parquet(f"{root}/out")
+
+
+def _stream_metrics(spark, d, generation):
+    root = _folder(spark)
+    _run(SP.gate(one_day(_stream(spark, d)), FIVE), write=ST.windows_batch(root, FIVE), root=root)
+    return rounded(spark.read.schema(METRIC).parquet(f"{root}/metrics").where(F.col("generation") == generation).drop("batch_id"))
+
+
+_ALL = "window_start + 420000 <= (SELECT max(observed_at) FROM obs) - 30000"
+
+
+@query(f"WITH {O.windows(O.M5, True)} SELECT * FROM ({O.v2_rows(O.M5)}) WHERE {_ALL}")
+def stream_window_v2(spark, d):
+    return _stream_metrics(spark, d, "live-v2").drop("context_event_count", "headway_lookback_seconds")
+
+
+@query(f"WITH RECURSIVE {O.accepted(O.M5, 7_200_000)} SELECT * FROM ({O.v3_rows(O.M5, 7_200_000)}) WHERE {_ALL}")
+def stream_window_v3(spark, d):
+    return _stream_metrics(spark, d, "live-v3")
