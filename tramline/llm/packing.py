@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import os
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain
@@ -14,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tramline.llm.shared import keyed, slices, staged
+from tramline.llm.shared import Words, keyed, slices, staged
 
 PIECES = T.StructType(
     [
@@ -30,28 +33,89 @@ PIECES = T.StructType(
 
 
 class Encoder:
-    """Ids of a text by a tokenizer whose pre-tokenizer cuts at white space: each word is encoded once and kept.
+    """Ids of texts by a tokenizer that cuts at white space: each distinct word is encoded once and kept.
 
-    Words are cut at ASCII white space only, and the tokenizer deals with whatever else is inside one. The table
-    of words is emptied when it holds `most` of them, which bounds memory and changes no result.
+    Words are cut at ASCII white space and known by 64-bit hashes; the tokenizer deals with whatever else is inside
+    one. The table of words is emptied when it holds `most`, which bounds memory and changes no result.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 1_500_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
+        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        with open(path, encoding="utf-8") as f:
+            self.model = self.tokenizer.model if _plain(json.load(f)) else None
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes, self.starts, self.sizes, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where each text's begin."""
+        words = Words(texts)
+        kinds, first, place = np.unique(words.hash, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, kinds)
+        found = np.zeros(len(kinds), bool)
+        if len(self.hashes):
+            found = self.hashes[np.minimum(at, len(self.hashes) - 1)] == kinds
+        if len(new := np.flatnonzero(~found)):
+            if len(self.hashes) + len(new) > self.most and len(self.hashes):
+                self.clear()
+                return self(texts)
+            data = words.data.tobytes()
+            ids = self.encode([data[s:e].decode() for s, e in zip(words.start[first[new]].tolist(), words.end[first[new]].tolist(), strict=True)])
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            starts = len(self.ids) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
+            self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))))
+            self.hashes, self.starts, self.sizes = (np.insert(a, at[new], v) for a, v in ((self.hashes, kinds[new]), (self.starts, starts), (self.sizes, sizes)))
+            at = np.searchsorted(self.hashes, kinds)
+        starts, sizes = self.starts[at][place], self.sizes[at][place]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        flat = self.ids[np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])]
+        return flat, ends[words.first]
+
+    def encode(self, words: list[str]) -> list[list[int]]:
+        """Ids of words. Plain ones (Latin letters, then signs) go to the model as the tokenizer would hand them over."""
+        if self.model is None:
+            return [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        out, rest, known, tokenize = [], [], {}, self.model.tokenize
+
+        def part(p: str) -> list[int]:
+            if p not in known:
+                known[p] = [t.id for t in tokenize(p if p.isascii() else "".join(map(_ALPHABET.__getitem__, p.encode())))]
+            return known[p]
+
+        for k, w in enumerate(words):
+            if m := _PLAIN.fullmatch(w):
+                out.append(part(m[1].lower()) + part(m[2]) if m[2] else part(m[1].lower()))
+            else:
+                out.append([])
+                rest.append(k)
+        for k, e in zip(rest, self.tokenizer.encode_batch([words[k] for k in rest], add_special_tokens=False), strict=True):
+            out[k] = e.ids
+        return out
+
+
+#: A run of Latin letters without marks of their own, then ASCII signs that begin no contraction or special token.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)")
+
+
+def _alphabet() -> dict[int, str]:
+    """The printable character that byte-level models write for each byte: itself, or the next one from 256 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    spare = iter(range(0x100, 0x200))
+    return {b: chr(b if b in own else next(spare)) for b in range(256)}
+
+
+_ALPHABET = _alphabet()
+
 
-    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        if len(self.known) > self.most:
-            self.known.clear()
-        known, split = self.known, [t.encode().split() for t in texts]
-        new = list({w for words in split for w in words if w not in known})
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                known[w] = e.ids
-        for words in split:
-            yield np.fromiter(chain.from_iterable(map(known.__getitem__, words)), "<u4")
+def _plain(config: dict) -> bool:
+    """Whether a tokenizer lowers letters and cuts words into runs of letters, digits and signs on byte level."""
+    parts = (config.get("normalizer") or {}).get("normalizers", []), (config.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    steps = [[x["type"] for x in p] for p in parts]
+    runs = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    return steps == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] and parts[1][0]["pattern"] == {"Regex": runs} and not config.get("post_processor")
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -59,6 +123,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
@@ -147,10 +212,12 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, block, ranks = encoder(tokenizer), TaskContext.get().partitionId(), _Ranks()
-        for b in slices(batches):
+        for b in slices(batches, most=1 << 22):
             cols: list[list] = [[] for _ in range(6)]
-            for doc, ids in zip(b.column("doc_id").to_pylist(), encode(b.column("text").to_pylist()), strict=True):
-                n, data = len(ids) + 1, ids.tobytes() + int(end_id).to_bytes(4, "little")
+            ids, first = encode(b.column("text"))
+            raw, first = ids.astype("<u4").tobytes(), first.tolist()
+            for doc, lo, hi in zip(b.column("doc_id").to_pylist(), first, first[1:], strict=False):
+                n, data = hi - lo + 1, raw[4 * lo : 4 * hi] + int(end_id).to_bytes(4, "little")
                 for at in range(0, n, capacity):
                     length = min(capacity, n - at)
                     for col, v in zip(cols, (doc, at, length, data[4 * at : 4 * (at + length)], n, ranks.next(length)), strict=True):
