@@ -73,7 +73,7 @@ def test_windows_close_once_and_never_reopen(spark, tmp_path):
 
 
 def test_native_windows_equal_the_batch(spark, tmp_path):
-    events = [event(f"e{k}", 100_000 * k, trip_id=f"T{k % 3}", **VISIT) for k in range(20)]
+    events = [event(f"e{k}", 1_000_000 + 100_000 * k, trip_id=f"T{k % 3}", **VISIT) for k in range(20)]
     f = Feed(spark, tmp_path, lambda s: P.final_windows(s.select("event_id", "observed_at", "agency_id", "route_id", "direction_id", "service_date")))
     f.put(*events, *events[:5])
     f.put(event("far", 9_000_000, route_id="R9"))
@@ -82,7 +82,7 @@ def test_native_windows_equal_the_batch(spark, tmp_path):
 
 
 def test_waiting_for_a_schedule(spark, tmp_path):
-    s = Settings(wait_rows=2, wait_deadline=3_000, wait_retry=200)
+    s = Settings(wait_rows=2, wait_deadline=15_000, wait_retry=1_000)
     ddl = "agency_id string, kind string, at long, schedule_version string, record string"
     (tmp_path / "in").mkdir()
 
@@ -93,22 +93,23 @@ def test_waiting_for_a_schedule(spark, tmp_path):
 
     out = P.wait_for_schedule(spark.readStream.schema(ddl).parquet(str(tmp_path / "in")), s)
     q = R.start(out, "wait", str(tmp_path / "ck"), path=str(tmp_path / "out"), trigger={"processingTime": "200 milliseconds"})
+    def seen(n):
+        deadline, got = time.time() + 40, {}
+        while time.time() < deadline and len(got) < n:
+            time.sleep(0.5)
+            got = {r.record: (r.schedule_version, r.unmatched_reason) for r in spark.read.schema(P.WAITED).parquet(str(tmp_path / "out")).collect()}
+        return got
+
     try:
         put("a", [("x", "event", 50, None, "1"), ("x", "event", 60, None, "2"), ("x", "event", 70, None, "3"), ("y", "event", 5, None, "4")])
-        q.processAllAvailable()
+        assert list(seen(1).values()) == [(None, "schedule_buffer_full")]  # two of three are held
         put("b", [("x", "version", 55, "v1", None)])
-        q.processAllAvailable()
-        deadline = time.time() + 60
-        while time.time() < deadline:
-            got = {r.record: (r.schedule_version, r.unmatched_reason) for r in spark.read.schema(P.WAITED).parquet(str(tmp_path / "out")).collect()}
-            if len(got) == 4:
-                break
-            time.sleep(1)
+        got = seen(4)
     finally:
         q.stop()
-    held = [got[k] for k in "123"]
-    assert sorted(map(str, held)) == sorted(map(str, [(None, "schedule_unavailable"), ("v1", None), (None, "schedule_buffer_full")])) or held.count((None, "schedule_buffer_full")) == 1
-    assert got["4"] == (None, "schedule_unavailable")
+    full = next(k for k, v in got.items() if v[1] == "schedule_buffer_full")
+    want = {"1": (None, "schedule_unavailable"), "2": ("v1", None), "3": ("v1", None), "4": (None, "schedule_unavailable")}
+    assert got == {**want, full: (None, "schedule_buffer_full")}
 
 
 def test_no_fresh_start_over_history(spark, tmp_path):
