@@ -72,7 +72,7 @@ def _texts(column: pa.Array) -> pa.Array:
     return pa.array([unpress(x) for x in column.to_pylist()], pa.binary()).cast(pa.large_string(), safe=False)
 
 
-def _small(batches: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def _small(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut by the bytes that their texts unpack to; a longer text stands alone."""
     for b in batches:
         ends = np.cumsum(b.column("bytes").to_numpy())
@@ -101,7 +101,7 @@ def without_repeats(docs: DataFrame, window: int = 50, anchor: int = 10) -> Data
     width = window
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, most=1 << 20):
             _, owner, start, runs, anchors, body = sampled_blocks(b.column("text"), width, anchor)
             at = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
