@@ -121,13 +121,12 @@ def disclosing_terms(docs: DataFrame, near: DataFrame, min_support: int, general
         words = words.join(F.broadcast(terms), "term", "left_semi")
     df_term = words.groupBy("term").agg(F.count("*").alias("df_term"))
     df_entity = seen.select("doc_id", "th", "entity").distinct().groupBy("entity").agg(F.count("*").alias("df_entity"))
-    n = docs.agg(F.count("*").alias("n_docs"))
-    share = F.log2(F.col("together") * F.col("n_docs") / F.col("df_entity") / F.col("df_term")) / F.log2(F.col("n_docs") / F.col("df_entity"))
+    n_docs = F.lit(float(docs.count()))
+    share = F.log2(F.col("together") * n_docs / F.col("df_entity") / F.col("df_term")) / F.log2(n_docs / F.col("df_entity"))
     return (
         pairs.join(df_term, "term")
         .join(df_entity, "entity")
-        .join(F.broadcast(n))  # one row
-        .where(F.col("n_docs") > F.col("df_entity"))
+        .where(n_docs > F.col("df_entity"))
         .withColumn("share", share)
         .where(F.col("share") >= generalise)
         .select("entity", "term", "share", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action"))
