@@ -75,4 +75,5 @@ QUERIES = {
 
 ORACLES = {
     "op6_exact_dedup": exact_dedup.ORACLE,
+    "op10_substring_dedup": substring_dedup.ORACLE,
 }

@@ -41,9 +41,7 @@ def keyed(docs: DataFrame, *more: str) -> DataFrame:
 
     Arrow batches between the JVM and Python are held to 8 MB, so that long texts don't add up in a worker.
     """
-    conf, size = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    if not 0 < int(conf.get(size, "0").rstrip("b") or 0) <= 8 << 20:
-        conf.set(size, str(8 << 20))
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"), *more)
 

@@ -162,3 +162,14 @@ def without_repeats(docs: DataFrame, window: int = 50, anchor: int = 10) -> Data
 
 def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+win AS (SELECT doc_id, i, sha256(array_to_string(words[i : i + 49], ' ')) AS k FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM d)),
+least AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, i + j AS pos FROM (SELECT w.doc_id, w.i FROM win w JOIN least l ON w.k = l.k WHERE l.m < w.doc_id), range(50) r(j)),
+all_words AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM d),
+kept AS (SELECT a.doc_id, string_agg(word, ' ' ORDER BY a.pos) AS text, count(*) AS n FROM all_words a LEFT JOIN gone g ON a.doc_id = g.doc_id AND a.pos = g.pos WHERE g.pos IS NULL GROUP BY a.doc_id)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(kept.n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+"""
