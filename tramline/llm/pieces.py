@@ -22,7 +22,7 @@ _UNRANKED = -1e8
 class Pieces:
     """Vocabulary of a sentencepiece model: pieces with scores, one id for each byte; encoding and decoding."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 600_000):
         import sentencepiece
 
         m = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -40,7 +40,8 @@ class Pieces:
                 self.ids[piece] = (m.get_score(i), i)
                 self.out.append(piece.encode())
         self.reach = max(map(len, self.ids))
-        self.begins = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
+        #: Every beginning of a piece; None where it is no piece itself.
+        self.table: dict[str, tuple[float, int] | None] = {p[:k]: None for p in self.ids for k in range(1, len(p))} | self.ids
         #: Of a character that is no piece and becomes its bytes; worse than any ranked piece.
         self.fallback = 10 * min((s for s, _ in self.ids.values() if s > _UNRANKED), default=0.0) - 10
         # If a piece has spaces only at its start, the best path has a boundary before each run of spaces, and around
@@ -58,7 +59,7 @@ class Pieces:
         most `reach` characters on. Ids are given out up to the last boundary through which the best paths to all
         places that can still be continued run, so memory is that of the window and of what is open behind it.
         """
-        ids, begins, reach = self.ids, self.begins, self.reach
+        table, reach, fallback, none = self.table, self.reach, self.fallback, (0.0, -1)
         text, score, back, at, done = "", [0.0], [0], 0, 0
         for part in chain(parts, (None,)):
             text += part or ""
@@ -68,16 +69,15 @@ class Pieces:
             while at < (n if part is None else n - reach):
                 here = score[at]
                 for to in range(at + 1, min(at + reach, n) + 1):
-                    piece = text[at:to]
-                    if piece not in begins:
+                    hit = table.get(text[at:to], none)
+                    if hit is none:  # no piece begins so
                         break
-                    hit = ids.get(piece)
-                    if hit and here + hit[0] > score[to]:
-                        score[to], back[to] = here + hit[0], at
-                if text[at] not in ids and here + self.fallback > score[at + 1]:
-                    score[at + 1], back[at + 1] = here + self.fallback, at
+                    if hit and (new := here + hit[0]) > score[to]:
+                        score[to], back[to] = new, at
+                if not table.get(text[at]) and here + fallback > score[at + 1]:
+                    score[at + 1], back[at + 1] = here + fallback, at
                 at += 1
-                if not at % reach:
+                if not at % 256:
                     live = {j for j in range(at, min(at + reach, n) + 1) if score[j] > -np.inf}
                     while len(live) > 1:
                         last = max(live)
@@ -110,10 +110,9 @@ class Pieces:
         known = self.known
         if len(known) > self.most:
             known.clear()  # bounds memory, changes no result
-        for u in units:
-            if u not in known:
-                parts = (u,) if len(u) < 1 << 12 else (u[k : k + (1 << 12)] for k in range(0, len(u), 1 << 12))
-                known[u] = tuple(chain.from_iterable(self.stream(parts)))
+        for u in set(units).difference(known):
+            parts = (u,) if len(u) < 1 << 12 else (u[k : k + (1 << 12)] for k in range(0, len(u), 1 << 12))
+            known[u] = tuple(chain.from_iterable(self.stream(parts)))
         return np.fromiter(chain.from_iterable(map(known.__getitem__, units)), "<u4")
 
     def decode(self, ids: np.ndarray) -> str:
