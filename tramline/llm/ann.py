@@ -85,7 +85,7 @@ def _valid(vectors: DataFrame) -> DataFrame:
     return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(fine).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
-def nearest_neighbours(vectors: DataFrame, query_every: int = 100, k: int = 10, tables: int = 8, probes: int = 8, part: int = 4096, seed: int = 3) -> DataFrame:
+def nearest_neighbours(vectors: DataFrame, query_every: int = 100, k: int = 10, tables: int = 16, probes: int = 8, part: int = 4096, seed: int = 3) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k nearest vectors found for each query, by Euclidean distance.
 
     Queries are the vectors whose vec_id is divisible by `query_every`, candidates all vectors but the query. A vector
