@@ -27,3 +27,19 @@ def test_recall_on_the_given_embeddings(spark, sf):
         hit[q] = len(got[q] & set(ids[np.lexsort((ids, d))[:10]].tolist()))
     stated = [n for q, n in hit.items() if q % 100 == 0]
     assert sum(hit.values()) >= 9 * len(hit) and sum(stated) >= 9 * len(stated)
+
+
+def test_rare_toxic_word_behind_many_common_terms(spark):
+    """Over 5,000 terms reach more toxic texts than the one that tells them."""
+    import random
+
+    from tramline.llm.toxicity import learn
+
+    rng = random.Random(0)
+    common = " ".join({"".join(rng.choices("bcdfghjkmnpqrtvw", k=8)) for _ in range(1_500)})
+    toxic = {i: i % 2 for i in range(60)}
+    docs = spark.createDataFrame([(i, common + (" zorkbat" if t and i % 3 else "")) for i, t in toxic.items()], DOCS)
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    lexicon = learn(docs, labels)
+    assert any("zork" in t for t in lexicon.weights)
+    assert lexicon.features("a zorkbat here")[0] > 0 == lexicon.features(common)[0]

@@ -108,13 +108,11 @@ class Lexicon:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     by = {0: Counter(), 1: Counter()}
-    docs = [0, 0]
     for b in batches:
         for text, label in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
-            docs[label] += 1
             by[label].update(terms_of(text))
     terms = [t for t in by[1]]
-    yield pa.RecordBatch.from_pydict({"term": terms + ["", ""], "tox": [by[1][t] for t in terms] + [docs[1], 0], "clean": [by[0][t] for t in terms] + [0, docs[0]]}, pa.schema([("term", pa.string()), ("tox", pa.int64()), ("clean", pa.int64())]))
+    yield pa.RecordBatch.from_pydict({"term": terms, "tox": [by[1][t] for t in terms], "clean": [by[0][t] for t in terms]}, pa.schema([("term", pa.string()), ("tox", pa.int64()), ("clean", pa.int64())]))
     # Clean counts of terms that no toxic text of this task has; another task may need them.
     rest = [t for t, c in by[0].items() if t not in by[1]]
     yield pa.RecordBatch.from_pydict({"term": rest, "tox": [0] * len(rest), "clean": [by[0][t] for t in rest]}, pa.schema([("term", pa.string()), ("tox", pa.int64()), ("clean", pa.int64())]))
@@ -147,12 +145,12 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1e-2
     return [float(v) for v in w]
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = 12_000, min_support: int = 8, min_precision: float = 0.9, most_entries: int = 5_000, exceptions: tuple[str, ...] = ()) -> Lexicon:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = 12_000, min_support: int = 8, min_precision: float = 0.9, exceptions: tuple[str, ...] = ()) -> Lexicon:
     """A lexicon from at most `sample` labelled rows outside the held-out fold (crc32(doc_id) mod 5 is 0).
 
     `sample`, the stated bound, takes the rows whose doc_id hashes lowest, so it is the same at each run. A doc_id
-    labelled twice counts as toxic if either label says so; null labels and null doc_ids are left out. The
-    most_entries entries that reach most toxic texts are looked at. Without both classes the lexicon is empty
+    labelled twice counts as toxic if either label says so; null labels and null doc_ids are left out. Every term
+    of min_support toxic texts and min_precision becomes an entry. Without both classes the lexicon is empty
     and every text scores 0.
     """
     spark = docs.sparkSession
@@ -160,12 +158,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 12_000, min_support:
     train = rows.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = keyed(docs).join(F.broadcast(train), "doc_id").dropDuplicates(["doc_id", "th"])  # at most `sample` rows
     texts = staged(texts.select("text", "toxic").repartition(12))
-    counts = texts.mapInArrow(_counted, "term string, tox long, clean long").groupBy("term").agg(F.sum("tox").alias("tox"), F.sum("clean").alias("clean"))
-    top = counts.where(F.col("tox") >= min_support).orderBy(F.desc("tox"), "term").limit(most_entries + 1).collect()
-    n_tox, n_clean = next(((r.tox, r.clean) for r in top if r.term == ""), (0, 0))
+    size = texts.agg(F.sum("toxic").alias("tox"), F.count("*").alias("n")).first()
+    n_tox, n_clean = size.tox or 0, size.n - (size.tox or 0)
     if not n_tox or not n_clean:
         return Lexicon({}, [], [-40.0, 0.0, 0.0, 0.0])
-    weights = choose([(r.term, r.tox, r.clean) for r in top if r.term], n_tox, n_clean, min_precision)
+    counts = texts.mapInArrow(_counted, "term string, tox long, clean long").groupBy("term").agg(F.sum("tox").alias("tox"), F.sum("clean").alias("clean"))
+    hits, misses = F.col("tox") + 0.1, (F.col("clean") + 0.1) * (n_tox / n_clean)
+    # choose() decides; here only what is clearly below the precision goes.
+    precise = counts.where((F.col("tox") >= min_support) & (hits / (hits + misses) >= min_precision - 1e-9)).collect()
+    weights = choose([tuple(r) for r in precise], n_tox, n_clean, min_precision)
     plain = Lexicon(weights, [], [0.0] * 4)
 
     def phrases(batches):
@@ -186,7 +187,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 12_000, min_support:
         yield pa.RecordBatch.from_pydict({"phrase": keys, "tox": [tox[k] for k in keys], "clean": [clean[k] for k in keys]}, pa.schema([("phrase", pa.string()), ("tox", pa.int64()), ("clean", pa.int64())]))
 
     spare = texts.mapInArrow(phrases, "phrase string, tox long, clean long").groupBy("phrase").agg(F.sum("tox").alias("tox"), F.sum("clean").alias("clean"))
-    spare = spare.where(f"tox = 0 AND clean >= {min_support}").orderBy(F.desc("clean"), "phrase").limit(most_entries).collect()
+    spare = spare.where(f"tox = 0 AND clean >= {min_support}").orderBy("phrase").collect()
     fitted = Lexicon(weights, [r.phrase for r in spare] + [fold(x) for x in exceptions], [0.0] * 4)
 
     def measured(batches):
