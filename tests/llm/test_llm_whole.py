@@ -43,3 +43,19 @@ def test_rare_toxic_word_behind_many_common_terms(spark):
     lexicon = learn(docs, labels)
     assert any("zork" in t for t in lexicon.weights)
     assert lexicon.features("a zorkbat here")[0] > 0 == lexicon.features(common)[0]
+
+
+def test_revealing_terms_far_from_the_entity(spark):
+    """A name 300 characters before the address is taken out, at all its places in documents that hold the entity."""
+    from tramline.llm.pii import find_personal_data, sanitised
+
+    gap = " ".join(f"plain{k}" for k in range(50))
+    rows = [(i, f"Zebulon begins. {gap} write to bob@example.com now. {gap} é zebulon ends") for i in range(4)]
+    rows += [(10 + i, f"other text. {gap} number {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, DOCS)
+    t = rows[0][1]
+    want = [("term", t.index("Zebulon")), ("term", t.index("zebulon")), ("email", t.index("bob@"))]
+    spans = {r.doc_id: [(s.kind, s.start) for s in r.spans] for r in find_personal_data(docs).collect()}
+    assert {(4 if k == "term" else 0, at) for k, at in want} <= set(spans[0]) and not spans[10]
+    clean = {r.doc_id: r.text for r in sanitised(docs).collect()}
+    assert all("zebulon" not in clean[i].lower() and gap in clean[i] for i in range(4)) and clean[12] == rows[6][1]

@@ -90,72 +90,70 @@ def entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"].cast("string"), value)
 
 
-def _context(width: int) -> Column:
-    """Words within `width` characters of each protected span, whole words only, outside every span."""
+def _outside(text: Column) -> Column:
+    """The text with each character of a span replaced by one that is no letter, so that places stay as they are."""
 
-    def near(s):
-        low = F.greatest(s["start"] - width, F.lit(0))
-        left, right = F.substring("text", low + 1, s["start"] - low), F.substring("text", s["end"] + 1, F.lit(width))
-        cut_l, cut_r = s["start"] - F.when(low > 0, F.lit(width)).otherwise(F.lit(width + 1)), s["end"] + width
-        always = lambda m: F.lit(True)
-        words = F.concat(located(left, TERM, 4, always, low), located(right, TERM, 4, always, s["end"]))
-        # A word that touches the span or the edge of the context may be a part of a longer one.
-        whole = F.filter(words, lambda w: (w["start"] > cut_l) & (w["end"] < s["start"]) | (w["start"] > s["end"]) & (w["end"] < cut_r))
-        free = F.filter(whole, lambda w: ~F.exists("spans", lambda o: (o["start"] < w["end"]) & (w["start"] < o["end"])))
-        return F.transform(free, lambda w: F.struct(entity(s).alias("entity"), F.lower(w["value"]).alias("term"), w["start"].alias("start"), w["end"].alias("end")))
+    def step(a, s):
+        gap = F.substring(text, a["at"] + 1, s["start"] - a["at"])
+        hidden = F.repeat(F.lit("\ue000"), F.greatest(s["end"] - F.greatest(a["at"], s["start"]), F.lit(0)))
+        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.concat(a["out"], gap, hidden).alias("out"))
 
-    return F.flatten(F.transform("spans", near))
+    rest = lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text)))
+    return F.when(F.size("spans") > 0, F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, rest)).otherwise(text)
 
 
-def disclosing_terms(docs: DataFrame, near: DataFrame, min_support: int, generalise: float, remove: float, most_terms: int) -> DataFrame:
-    """entity, term, share, action: terms whose mutual information with an entity nears all that there is to know.
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
-    share = PMI(entity; term) / -log2 p(entity), at most 1, reached when the term occurs near no other entity
-    and in no other document. A pair needs min_support documents; one that rests on fewer says nothing.
-    """
-    seen = near.select("doc_id", "th", "entity", "term").distinct()
-    pairs = staged(seen.groupBy("entity", "term").agg(F.count("*").alias("together")).where(F.col("together") >= min_support))
-    terms = staged(pairs.select("term").distinct())
-    words = docs.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("term"))
-    if terms.count() <= most_terms:  # a checked size; beyond it counts are summed first and then joined
-        words = words.join(F.broadcast(terms), "term", "left_semi")
-    df_term = words.groupBy("term").agg(F.count("*").alias("df_term"))
-    df_entity = seen.select("doc_id", "th", "entity").distinct().groupBy("entity").agg(F.count("*").alias("df_entity"))
-    n_docs = F.lit(float(docs.count()))
-    share = F.log2(F.col("together") * n_docs / F.col("df_entity") / F.col("df_term")) / F.log2(n_docs / F.col("df_entity"))
-    return (
-        pairs.join(df_term, "term")
-        .join(df_entity, "entity")
-        .where(n_docs > F.col("df_entity"))
-        .withColumn("share", share)
-        .where(F.col("share") >= generalise)
-        .select("entity", "term", "share", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action"))
-    )
 
+def disclosing_terms(found: DataFrame, min_support: int, generalise: float, remove: float, most_terms: int) -> DataFrame:
+    """doc_id, th, term, action: the terms of each document that reveal an entity which the same document holds.
 
-def find_personal_data(docs: DataFrame, width: int = 80, min_support: int = 3, generalise: float = 0.7, remove: float = 0.9, most_terms: int = 100_000) -> DataFrame:
-    """One row per row of `docs`: doc_id, th, text, base (spans by pattern), spans (base and disclosing terms).
+    Terms and entities meet wherever one document has both. share = PMI(entity; term) / -log2 p(entity), at most 1,
+    reached when the term occurs in no other document. A pair needs min_support documents; one that rests on fewer
+    says nothing. As a pair is in no more documents than its entity, share >= generalise bounds the documents of the
+    term: commoner terms are left out before pairs are made, which changes no result.
+    """
+    n_docs = float(found.count())
+    held = found.where(F.size("spans") > 0).select("doc_id", "th", F.explode(F.transform("spans", entity)).alias("entity")).distinct()
+    df_entity = held.groupBy("entity").agg(F.count("*").alias("df_entity")).where((F.col("df_entity") >= min_support) & (F.col("df_entity") < n_docs))
+    upto = F.pow(F.lit(n_docs), F.lit(1 - generalise)) * F.pow(F.col("df_entity"), F.lit(generalise)) * (1 + 1e-9)
+    held = staged(held.join(df_entity, "entity").withColumn("upto", upto))
+    most = held.agg(F.max("upto")).first()[0] or 0.0
+    df_term = found.select(F.explode(_terms(F.col("body"))).alias("term")).groupBy("term").agg(F.count("*").alias("df_term"))
+    df_term = staged(df_term.where(F.col("df_term").between(min_support, most)))
+    if df_term.count() <= most_terms:  # a checked size; beyond it the sides are dealt by term
+        df_term = F.broadcast(df_term)
+    words = found.where(F.size("spans") > 0).select("doc_id", "th", F.explode(_terms(F.col("body"))).alias("term")).distinct().join(df_term, "term")
+    w, h = words.alias("w"), held.alias("h")
+    same = F.col("w.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("w.th") == F.col("h.th")) & (F.col("df_term") <= F.col("upto"))
+    met = staged(w.join(h, same).select("w.doc_id", "w.th", "entity", "term", "df_entity", "df_term"))
+    pairs = met.groupBy("entity", "term", "df_entity", "df_term").agg(F.count("*").alias("together")).where(F.col("together") >= min_support)
+    n = F.lit(n_docs)
+    share = F.log2(F.col("together") * n / F.col("df_entity") / F.col("df_term")) / F.log2(n / F.col("df_entity"))
+    pairs = pairs.withColumn("share", share).where(F.col("share") >= generalise).select("entity", "term", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action"))
+    return met.join(pairs, ["entity", "term"]).groupBy("doc_id", "th", "term").agg(F.max("action").alias("action"))
+
+
+def find_personal_data(docs: DataFrame, min_support: int = 3, generalise: float = 0.7, remove: float = 0.9, most_terms: int = 100_000) -> DataFrame:
+    """One row per row of `docs`: doc_id, th, base (spans by pattern), spans (base and disclosing terms).
 
     Null text counts as empty and has no span. Rows that share a doc_id are told apart by their text; identical
     rows get identical spans. Other columns of `docs` are ignored, whatever their names. No rows give no rows.
-    A document without a protected entity is never changed: terms count only near an entity they reveal.
+    A document without a protected entity is never changed: terms count only with an entity they reveal, in every
+    document that holds it, and there at all their places outside the spans.
     """
-    texts = keyed(docs)
-    found = staged(
-        texts.withColumn("spans", base_spans(F.col("text")))
-        .withColumn("near", F.when(F.size("spans") > 0, _context(width)))
-        .select("doc_id", "th", "spans", "near")
-    )
-    near = found.where("near IS NOT NULL").select("doc_id", "th", F.explode("near").alias("x")).select("doc_id", "th", "x.*").distinct()
-    terms = disclosing_terms(texts, near, min_support, generalise, remove, most_terms)
-    span = F.struct("start", "end", F.lit(4).alias("kind"), F.col("action").alias("value"))
-    added = near.join(terms, ["entity", "term"]).groupBy("doc_id", "th", "start", "end").agg(F.max("action").alias("action"))
-    added = added.groupBy("doc_id", "th").agg(F.collect_list(span).alias("added"))
-    nil = F.from_json(F.lit("[]"), _SPAN)
-    own = found.select("doc_id", "th", in_order(F.col("spans")).alias("base"))
-    f, a = own.alias("f"), added.alias("a")
+    found = staged(keyed(docs).withColumn("spans", base_spans(F.col("text"))).select("doc_id", "th", "spans", _outside(F.col("text")).alias("body")))
+    terms = disclosing_terms(found, min_support, generalise, remove, most_terms)
+    marks = terms.groupBy("doc_id", "th").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("marks"))
+    f, a = found.alias("f"), marks.alias("a")
     on = F.col("f.doc_id").eqNullSafe(F.col("a.doc_id")) & (F.col("f.th") == F.col("a.th"))
-    return f.join(a, on, "left").select("f.doc_id", "f.th", "base", in_order(F.concat("base", F.coalesce("added", nil))).alias("spans"))
+    action = lambda value: F.element_at("marks", F.lower(value))
+    places = located(F.col("body"), TERM, 4, lambda m: action(m).isNotNull())
+    added = F.transform(places, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), action(s["value"]).alias("value")))
+    nil = F.from_json(F.lit("[]"), _SPAN)
+    own = f.join(a, on, "left").select("f.doc_id", "f.th", in_order(F.col("spans")).alias("base"), F.when(F.col("marks").isNotNull(), added).otherwise(nil).alias("added"))
+    return own.select("doc_id", "th", "base", in_order(F.concat("base", "added")).alias("spans"))
 
 
 def sanitised(docs: DataFrame, **parameters) -> DataFrame:
