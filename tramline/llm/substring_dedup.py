@@ -1,4 +1,4 @@
-"""Substring deduplication: relative Lempel-Ziv factors of each document against blocks of all smaller ones."""
+"""Substring deduplication by anchor blocks (winnowing), in place of relative Lempel-Ziv parsing."""
 
 from __future__ import annotations
 
