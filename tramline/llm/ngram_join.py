@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tramline.llm.graph import components
-from tramline.llm.shared import Words, keyed, mix, order_id, slices, staged, without
+from tramline.llm.shared import Words, keyed, mix, slices, staged, without
 
 _U = np.uint64
 SIGNED = T.StructType(
@@ -38,13 +38,17 @@ def shingles(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     A text of one to n - 1 words is a single n-gram of all its words; one without words has none.
     """
     words = Words(texts)
-    sums, first = words.sums(), words.first
+    first = words.first
     size = np.diff(first)
     count = np.where(size >= n, size - n + 1, np.minimum(size, 1))
     starts = np.concatenate(([0], np.cumsum(count)))
     owner = np.repeat(np.arange(len(size)), count)
     at = np.arange(starts[-1]) - starts[owner] + first[owner]
-    grams = words.range(sums, at, np.minimum(at + n, first[owner + 1]))
+    grams, short = np.zeros(len(at), np.uint64), size[owner] < n
+    grams[~short] = words.at(at[~short], n)
+    for k in range(1, n):
+        of = np.flatnonzero(size[owner] == k)
+        grams[of] = words.at(at[of], k)
     order = np.lexsort((grams, owner))
     grams = grams[order]  # owner is sorted already
     new = np.ones(len(grams), bool)
@@ -88,24 +92,28 @@ def _linked(a: list[np.ndarray], b: list[np.ndarray] | None, num: int, den: int)
     return out
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, rows: int = 5, recall: float = 0.998, seed: int = 7, block: int = 400_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, rows: int = 5, recall: float = 0.9995, seed: int = 7, block: int = 400_000, most_sent: int = 100_000) -> DataFrame:
     """One row per row of `docs`: doc_id, class_id, text_id, n_links, th (hash of the text).
 
-    Two texts are linked if the Jaccard similarity of their sets of n-grams of words (case and punctuation count)
-    is at least `threshold`. class_id is the smallest doc_id that links lead to, text_id the smallest doc_id with
-    the same set of n-grams, n_links the number of other rows linked to the row, copies included. A null or empty
-    text has no n-grams, no links and itself as class. Rows that share a doc_id count as rows of their own; a
-    null doc_id sorts last and is null where it is the smallest. Other columns are ignored. No rows give no rows.
+    Two texts are linked if they share a band and the Jaccard similarity of their sets of n-grams of words (case and
+    punctuation count) is at least `threshold`; a pair at the threshold shares one with a probability of `recall`. class_id is
+    the smallest doc_id that links lead to, text_id the smallest doc_id with the same set of n-grams, n_links the number
+    of other rows linked to the row, copies included. A null or empty text has no n-grams, no links and itself as class.
+    Rows that share a doc_id count as rows of their own; a null doc_id sorts last and is null where it is the smallest.
+    Other columns are ignored. No rows give no rows.
 
     1. Rows with one set of n-grams are one text; a group of copies, however large, is one row from here on.
-    2. MinHash band hashes are shuffled; a bucket is summed up to its smallest text, which each member is linked
-       to, and the components of those links are the groups within which a pair can be a candidate. A pair at the
-       threshold is in one group with probability of at least `recall`.
-    3. Texts of groups of two or more are sent, once, to the task of their group, which compares all their
-       n-gram sets by an inverted index and returns, for each text, the count of its links and one link towards the
-       smallest text that it leads to. A group of more than `block` n-grams is dealt into parts by hash and each
-       pair of parts is a task, so that tasks stay bounded and no pair goes unseen.
-    4. The components of those links are the classes.
+    2. MinHash band hashes are shuffled. A bucket of two texts or more is a group of candidates; of buckets with the same
+       texts, the one of the first band stays.
+    3. Each text is sent to the tasks of its buckets. A task compares the full n-gram sets of its bucket by an inverted index
+       and returns, for each text, the count of its links and one link towards the smallest text that it leads to; a pair
+       that meets in several buckets counts in the first. A bucket of more than `block` n-grams is dealt into parts by
+       hash and each pair of parts is a task, so that tasks stay bounded and no pair goes unseen. Texts that never share
+       a band never meet, whatever chains of buckets lie between them.
+    4. The components of the links are the classes.
+
+    The ids of candidate texts are broadcast to the scan that fetches the texts if they are at most `most_sent`, and joined
+    with it by shuffle beyond.
     """
     bands = bands_for(threshold, rows, recall)
 
@@ -126,29 +134,34 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, rows: i
 
     texts = keyed(docs)
     signed = staged(texts.mapInArrow(sign, SIGNED))
-    full = signed.where("n > 0").withColumn("id", order_id())
-    kinds = staged(
-        full.groupBy("hi", "lo", "n").agg(F.min(F.struct("id", "th")).alias("m"), F.count("*").alias("size"), F.first("bands").alias("bands")).select("hi", "lo", "n", F.col("m.id").alias("text_id"), F.col("m.th").alias("th"), "size", "bands")
-    )
+    own = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"))
+    kinds = signed.where("n > 0").withColumn("own", own).groupBy("hi", "lo", "n").agg(F.min(F.struct("own", "th")).alias("m"), F.count("*").alias("size"), F.first("bands").alias("bands"))
     # A text is known by its smallest doc_id; where rows of several texts share that doc_id, by set as well.
-    kinds = kinds.withColumn("k", F.struct("text_id", "hi", "lo"))
-    banded = kinds.select("k", F.posexplode("bands").alias("band", "h"))
-    buckets = banded.groupBy("band", "h").agg(F.min("k").alias("least"), F.count("*").alias("c")).where("c > 1").drop("c")
-    near = banded.join(buckets, ["band", "h"]).where("k <> least").select(F.col("k").alias("a"), F.col("least").alias("b"))
-    groups = staged(components(near))
-
-    member = kinds.drop("bands").join(groups.withColumnRenamed("node", "k"), "k")
-    parts = member.groupBy("component").agg(F.ceil(F.sum("n") / block).cast("int").alias("parts"))
-    member = member.join(parts, "component").withColumn("part", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
-    chosen = member.join(texts, (order_id(texts["doc_id"]) == member["text_id"]) & (texts["th"] == member["th"]))
-    chosen = chosen.select("component", "k", "size", member["n"], "part", "parts", "text").dropDuplicates(["k"])
-    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("part", o).alias("p"), F.greatest("part", o).alias("q")))
-    dealt = chosen.withColumn("at", F.explode(pairs)).select("component", "at.p", "at.q", "part", "k", "size", "text")
+    kinds = staged(kinds.select("hi", "lo", "n", F.struct("m.own.none", "m.own.id", "hi", "lo").alias("k"), F.col("m.th").alias("th"), "size", "bands"))
+    banded = kinds.select("k", "n", F.posexplode("bands").alias("band", "h"))
+    mark = F.xxhash64("k")
+    buckets = banded.groupBy("band", "h").agg(F.count("*").alias("c"), F.sum("n").alias("grams"), F.bit_xor(mark).alias("x"), F.sum(mark.cast("decimal(20,0)")).cast("string").alias("s"), F.min("k").alias("least")).where("c > 1")
+    buckets = buckets.groupBy("c", "x", "s", "least").agg(F.min(F.struct("band", "h", "grams")).alias("b")).select("b.band", "b.h", F.ceil(F.col("b.grams") / block).cast("int").alias("parts"))
+    member = staged(banded.select("k", "band", "h").join(staged(buckets), ["band", "h"]))
+
+    of_text = member.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("band", "h", "parts"))).alias("in")).join(kinds.select("k", "th", "size"), "k")  # at most `bands` entries
+    of_text = staged(of_text)
+    wanted = of_text.select(F.col("k.none").alias("none"), F.col("k.id").alias("id"), "th").distinct()
+    if of_text.count() <= most_sent:  # a checked size; beyond it both sides are dealt by doc_id
+        wanted = F.broadcast(wanted)
+    with_id = texts.select(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "th", "text")
+    fetched = with_id.join(wanted, ["none", "id", "th"], "left_semi").dropDuplicates(["none", "id", "th"])
+    chosen = of_text.withColumn("none", F.col("k.none")).withColumn("id", F.col("k.id")).join(fetched, ["none", "id", "th"])
+    each = chosen.select("k", "size", "text", F.transform("in", lambda x: x["band"]).alias("bands"), F.transform("in", lambda x: x["h"]).alias("hs"), F.explode("in").alias("b"))
+    each = each.withColumn("part", F.pmod(mark, F.col("b.parts")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("b.parts") - 1), lambda o: F.struct(F.least("part", o).alias("p"), F.greatest("part", o).alias("q")))
+    dealt = each.withColumn("at", F.explode(pairs)).select("b.band", "b.h", "at.p", "at.q", "part", "k", "size", "text", "bands", "hs")
     share = Fraction(str(threshold))
-    out = T.StructType([T.StructField("a", kinds.schema["k"].dataType), T.StructField("b", kinds.schema["k"].dataType), T.StructField("links", T.LongType())])
+    name = kinds.schema["k"].dataType
+    out = T.StructType([T.StructField("a", name), T.StructField("b", name), T.StructField("links", T.LongType())])
 
     def compare(key, group):
-        p, q = (x.as_py() for x in key[1:])
+        band, _, p, q = (x.as_py() for x in key)
         group = group.combine_chunks()
         fields = group.column("k").chunk(0).flatten()
         group = group.take(pa.array(np.lexsort([f.to_numpy(zero_copy_only=False) for f in reversed(fields)])))
@@ -156,6 +169,13 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, rows: i
         grams, starts = shingles(group.column("text").combine_chunks(), n)
         sets = [grams[starts[i] : starts[i + 1]] for i in range(len(k))]
         size, root, links = group.column("size").to_numpy(), np.arange(len(k)), np.zeros(len(k), np.int64)
+        # Buckets of earlier bands, one column each; where a text is in none, a number that no other has.
+        before = np.repeat(-1 - np.arange(len(k), dtype=np.int64)[:, None], band, 1)
+        none = np.ones((len(k), band), bool)
+        lists, hs = group.column("bands").combine_chunks(), group.column("hs").combine_chunks()
+        row, at = np.repeat(np.arange(len(k)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()
+        early = at < band
+        before[row[early], at[early]], none[row[early], at[early]] = hs.flatten().to_numpy()[early], False
 
         def top(i):
             while root[i] != i:
@@ -166,6 +186,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, rows: i
         left, right = (np.flatnonzero(part == x) for x in (p, q))
         for i, found in _linked([sets[x] for x in left], None if p == q else [sets[x] for x in right], share.numerator, share.denominator):
             i, found = left[i], right[found]
+            found = found[~((before[found] == before[i]) & ~none[found] & ~none[i]).any(1)]
             links[i] += size[found].sum()
             if p != q:
                 links[found] += size[i]
@@ -176,18 +197,19 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, rows: i
         to = np.array([top(i) for i in hit], np.int64)
         return pa.Table.from_arrays([k.take(pa.array(hit)), k.take(pa.array(to)), pa.array(links[hit])], ["a", "b", "links"])
 
-    linked = staged(dealt.groupBy("component", "p", "q").applyInArrow(compare, out))
+    linked = staged(dealt.groupBy("band", "h", "p", "q").applyInArrow(compare, out))
     classes = components(linked.select("a", "b")).select(F.col("node").alias("k"), "component")
     counted = linked.groupBy(F.col("a").alias("k")).agg(F.sum("links").alias("links"))
-    known = staged(kinds.drop("bands", "th").join(classes, "k", "left").join(counted, "k", "left").select("hi", "lo", "n", "text_id", "size", F.coalesce("component.text_id", "text_id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links")))
-    null = lambda c: F.expr(f"nullif({c}, {2**63 - 1})")
+    known = kinds.select("hi", "lo", "n", "k", "size").join(classes, "k", "left").join(counted, "k", "left")
+    real = lambda c: F.when(~F.col(f"{c}.none"), F.col(f"{c}.id"))
+    known = staged(known.withColumn("c", F.coalesce("component", "k")).select("hi", "lo", "n", "size", real("c").alias("class_id"), real("k").alias("text_id"), F.coalesce("links", F.lit(0)).alias("links")))
     rows_ = signed.select("doc_id", "th", "hi", "lo", "n").join(known, ["hi", "lo", "n"], "left")
-    own = F.col("n") == 0
+    alone = F.col("n") == 0
     return rows_.select(
         "doc_id",
-        F.when(own, F.col("doc_id")).otherwise(null("class_id")).alias("class_id"),
-        F.when(own, F.col("doc_id")).otherwise(null("text_id")).alias("text_id"),
-        F.when(own, F.lit(0)).otherwise(F.col("size") - 1 + F.col("links")).cast("long").alias("n_links"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("text_id")).alias("text_id"),
+        F.when(alone, F.lit(0)).otherwise(F.col("size") - 1 + F.col("links")).cast("long").alias("n_links"),
         "th",
     )
 

@@ -7,39 +7,24 @@ import os
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from tramline.llm.shared import Words, keyed, slices, staged
-
-PIECES = T.StructType(
-    [
-        T.StructField("doc_id", T.LongType()),
-        T.StructField("start", T.LongType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("ids", T.BinaryType()),
-        T.StructField("doc_tokens", T.LongType()),
-        T.StructField("block", T.LongType()),
-        T.StructField("rank", T.LongType()),
-    ]
-)
+from tramline.llm.shared import keyed, staged
 
 
 class Encoder:
     """Ids of texts by a tokenizer that cuts at white space: each distinct word is encoded once and kept.
 
-    Words are cut at ASCII white space and known by 64-bit hashes; the tokenizer deals with whatever else is inside
-    one. The table of words is emptied when it holds `most`, which bounds memory and changes no result.
+    Words are cut at ASCII white space and looked up by their bytes; the tokenizer deals with whatever else is inside
+    one. The table is emptied when its words and ids come to `most` bytes, which bounds memory and changes no result.
     """
 
-    def __init__(self, path: str, most: int = 1_500_000):
+    def __init__(self, path: str, most: int = 64 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
@@ -48,31 +33,23 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.hashes, self.starts, self.sizes, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, one after the other, and where each text's begin."""
-        words = Words(texts)
-        kinds, first, place = np.unique(words.hash, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.hashes, kinds)
-        found = np.zeros(len(kinds), bool)
-        if len(self.hashes):
-            found = self.hashes[np.minimum(at, len(self.hashes) - 1)] == kinds
-        if len(new := np.flatnonzero(~found)):
-            if len(self.hashes) + len(new) > self.most and len(self.hashes):
+        self.table, self.held = {}, 0
+
+    def __call__(self, text: str) -> bytes:
+        """Ids of a text, little-endian unsigned 32-bit."""
+        data = text.encode()
+        return b"".join(self.part(data[lo:hi]) for lo, hi in _stretches(data))
+
+    def part(self, data: bytes) -> bytes:
+        words = data.split()
+        if new := list(set(words).difference(self.table)):
+            if self.held > self.most:
                 self.clear()
-                return self(texts)
-            data = words.data.tobytes()
-            ids = self.encode([data[s:e].decode() for s, e in zip(words.start[first[new]].tolist(), words.end[first[new]].tolist(), strict=True)])
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            starts = len(self.ids) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
-            self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))))
-            self.hashes, self.starts, self.sizes = (np.insert(a, at[new], v) for a, v in ((self.hashes, kinds[new]), (self.starts, starts), (self.sizes, sizes)))
-            at = np.searchsorted(self.hashes, kinds)
-        starts, sizes = self.starts[at][place], self.sizes[at][place]
-        ends = np.concatenate(([0], np.cumsum(sizes)))
-        flat = self.ids[np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])]
-        return flat, ends[words.first]
+                new = list(set(words))
+            for w, ids in zip(new, self.encode([w.decode() for w in new]), strict=True):
+                self.table[w] = ids = np.array(ids, "<u4").tobytes()
+                self.held += len(w) + len(ids) + 160  # with what Python adds to each
+        return b"".join(map(self.table.__getitem__, words))
 
     def encode(self, words: list[str]) -> list[list[int]]:
         """Ids of words. Plain ones (Latin letters, then signs) go to the model as the tokenizer would hand them over."""
@@ -96,6 +73,20 @@ class Encoder:
         return out
 
 
+def _stretches(data: bytes, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of about `most` bytes that end at white space, so that a long text is never held as a list of all its words."""
+    at = 0
+    while len(data) - at > most:
+        end = _GAP.search(data, at + most)
+        if not end:
+            break
+        yield at, end.start()
+        at = end.start()
+    yield at, len(data)
+
+
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
+
 #: A run of Latin letters without marks of their own, then ASCII signs that begin no contraction or special token.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)")
 
@@ -198,60 +189,94 @@ def _reopen(tree: Capacities, open_: dict, room: int, first: int, n: int) -> Non
         tree.add(room, n)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1) -> DataFrame:
+def laid_out(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Window and offset of each piece by best-fit decreasing, and how much of each window is filled."""
+    kinds, counts = np.unique(lengths, return_counts=True)
+    order = np.argsort(lengths, kind="stable")
+    begin = dict(zip(kinds.tolist(), (np.cumsum(counts) - counts).tolist(), strict=True))
+    window, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
+    for length, lo, hi, first, at in best_fit_decreasing(dict(zip(kinds.tolist(), counts.tolist(), strict=True)), capacity):
+        of = order[begin[length] + lo : begin[length] + hi]
+        window[of], offset[of] = first + np.arange(hi - lo), at
+    return window, offset, np.bincount(window, lengths).astype(np.int64)
+
+
+class _Block:
+    """Pieces that are packed together, and their windows as batches."""
+
+    NAMES = ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
+    KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+
+    def __init__(self, capacity: int, level: int):
+        self.capacity, self.windows = capacity, (level << 62) | (TaskContext.get().partitionId() << 36)
+        self.clear()
+
+    def clear(self) -> None:
+        self.rows, self.size = ([], [], [], [], []), 0
+
+    def add(self, *piece) -> None:
+        for col, v in zip(self.rows, piece, strict=True):
+            col.append(v)
+        self.size += len(piece[3])
+
+    def flush(self, full: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+        """Batches of about 1 MB of ids, and which of their pieces are in windows of fewer than `full` tokens."""
+        if not self.rows[0]:
+            return
+        window, offset, filled = laid_out(np.array(self.rows[2], np.int64), self.capacity)
+        short = filled[window] < full
+        cut = np.searchsorted(np.cumsum([len(x) for x in self.rows[3]]), np.arange(1 << 20, self.size, 1 << 20)).tolist()
+        for lo, hi in zip([0, *cut], [*cut, len(window)], strict=True):
+            if hi > lo:
+                cols = [*(c[lo:hi] for c in self.rows), window[lo:hi] + self.windows, offset[lo:hi]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, self.KINDS, strict=True)], self.NAMES), short[lo:hi]
+        self.windows += len(filled)
+        self.clear()
+
+
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, block_bytes: int = 24 << 20) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
     A document is its ids and then end_id; null text counts as empty and is end_id alone. While it is longer
-    than a window it is cut into full windows, and the rest is placed by best-fit decreasing over all documents,
-    so no piece is lost or split further. A row is a document, repeated doc_ids too; a null doc_id stays null.
+    than a window it is cut into full windows, and the rest is placed by best-fit decreasing over the pieces of its
+    block, so no piece is lost or split further. A row is a document, repeated doc_ids too; a null doc_id stays null.
     Columns other than doc_id and text are ignored. No rows give no rows.
 
-    Only the number of pieces of each length (at most `capacity` numbers) reaches the driver, and the placement it
-    returns is bounded by capacity as well. A piece finds its own by its rank among pieces of its length.
+    A task packs what it reads in blocks of `block_bytes` of ids (3,000 windows), which bounds its memory at any size of
+    input; nothing is shuffled and nothing reaches the driver. Windows that a block leaves with a 64th of their room or
+    more are opened again: their pieces, a few a block, are packed a second time, over as many blocks as a task reads.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, block, ranks = encoder(tokenizer), TaskContext.get().partitionId(), _Ranks()
-        for b in slices(batches, most=1 << 22):
-            cols: list[list] = [[] for _ in range(6)]
-            ids, first = encode(b.column("text"))
-            raw, first = ids.astype("<u4").tobytes(), first.tolist()
-            for doc, lo, hi in zip(b.column("doc_id").to_pylist(), first, first[1:], strict=False):
-                n, data = hi - lo + 1, raw[4 * lo : 4 * hi] + int(end_id).to_bytes(4, "little")
+        encode, block, end = encoder(tokenizer), _Block(capacity, 0), int(end_id).to_bytes(4, "little")
+        for b in batches:
+            for doc, text in zip(b.column("doc_id"), b.column("text"), strict=True):
+                doc, data = doc.as_py(), encode(text.as_py() or "") + end
+                n = len(data) // 4
                 for at in range(0, n, capacity):
-                    length = min(capacity, n - at)
-                    for col, v in zip(cols, (doc, at, length, data[4 * at : 4 * (at + length)], n, ranks.next(length)), strict=True):
-                        col.append(v)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.binary()), pa.array(cols[4], pa.int64()), pa.array([block] * len(cols[0]), pa.int64()), pa.array(cols[5], pa.int64())],
-                PIECES.names,
-            )
-
-    pieces = staged(keyed(docs).select("doc_id", "text").mapInArrow(cut, PIECES))
-    held = pieces.groupBy("block", "length").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
-    base = staged(held.select("block", "length", "n", F.coalesce(before, F.lit(0)).alias("base")))
-    counts = {r["length"]: r["n"] for r in base.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    rows = best_fit_decreasing(counts, capacity)
-    placed = docs.sparkSession.createDataFrame(rows or [(0, 0, 0, 0, 0)], "length long, lo long, hi long, first long, offset long")
-    at = F.col("base") + F.col("rank")
-    return (
-        pieces.join(base.select("block", "length", "base"), ["block", "length"])
-        .join(F.broadcast(placed), "length")
-        .where((at >= F.col("lo")) & (at < F.col("hi")))
-        .select("doc_id", "start", "length", "ids", "doc_tokens", (F.col("first") + at - F.col("lo")).alias("sequence_id"), "offset")
-    )
-
-
-class _Ranks:
-    """Ranks, from 0, of the pieces of each length in one task."""
-
-    def __init__(self):
-        self.n = defaultdict(int)
-
-    def next(self, length: int) -> int:
-        self.n[length] += 1
-        return self.n[length] - 1
+                    block.add(doc, at, min(capacity, n - at), data[4 * at : 4 * (at + capacity)], n)
+                    if block.size >= block_bytes:
+                        yield from marked(block)
+        yield from marked(block)
+
+    def marked(block: _Block) -> Iterator[pa.RecordBatch]:
+        for batch, short in block.flush(capacity - capacity // 64):
+            yield batch.append_column("again", pa.array(short))
+
+    def repack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = _Block(capacity, 1)
+        for b in batches:
+            for piece in zip(*(b.column(k) for k in block.NAMES[:5]), strict=True):
+                block.add(*(x.as_py() for x in piece))
+                if block.size >= block_bytes:
+                    yield from (batch for batch, _ in block.flush(0))
+        yield from (batch for batch, _ in block.flush(0))
+
+    packed = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+    pieces = staged(keyed(docs).select("doc_id", "text").mapInArrow(cut, f"{packed}, again boolean"), "again")
+    names = list(_Block.NAMES)
+    again = pieces.where("again").select(*names[:5]).mapInArrow(repack, packed)
+    return pieces.where("NOT again").select(*names).unionByName(again)
 
 
 def digest(packed: DataFrame) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,17 +21,43 @@ _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LAST_ID = 2**63 - 1
 
 
+#: Folders that staged() has made and nothing has removed yet.
+_FOLDERS: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one that driver and executors share; /tmp/checkpoints where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints"
+    """A new folder below the one that driver and executors share, spark.checkpoint.dir.
+
+    Where that is unset, a session of one process uses /tmp/checkpoints; on a cluster its executors would not see one
+    another's files there, so that it is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = "file:///tmp/checkpoints"
     return f"{root.rstrip('/')}/tramline-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, *by: str) -> DataFrame:
-    """The same rows, written to the shared folder and read again: lineage ends here, lost executors cost nothing."""
+def staged(df: DataFrame, by: str | None = None) -> DataFrame:
+    """The same rows, written to the shared folder and read again: lineage ends here, lost executors cost nothing.
+
+    by: a column of few values, each of which gets a folder of its own, so that a filter on it reads no other.
+    """
     path = shared_folder(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDERS.append(path)
+    out = df.write.option("compression", "zstd")
+    (out.partitionBy(by) if by else out).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def release(spark: SparkSession, *keep: DataFrame) -> None:
+    """Removes what staged() has written so far, but for the folders that `keep` reads. For when a result is written."""
+    held = {f.rpartition("/tramline-")[2].partition("/")[0] for df in keep for f in df.inputFiles()}
+    for path in [p for p in _FOLDERS if p.rpartition("/tramline-")[2] not in held]:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        _FOLDERS.remove(path)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +67,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id, th (hash of the text; tells apart rows that share a doc_id) and text, null text as empty.
 
-    Arrow batches between the JVM and Python are held to 8 MB, so that long texts don't add up in a worker.
+    Sets spark.sql.execution.arrow.maxBytesPerBatch of the session to 8 MB, for its later queries too: batches of
+    10,000 rows, whatever their size, would add up long texts in a worker.
     """
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -61,42 +90,47 @@ def order_id(c: str | Column = "doc_id") -> Column:
 # ---- vectorised words ----------------------------------------------------------------------------
 
 _U = np.uint64
-_BASE, _STEP = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
+_STEP, _TURN = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
+#: Words of more bytes are hashed one by one.
+_LONG = 64
 
 
-def _inverse(x: int) -> int:
-    y = x
-    for _ in range(6):
-        y = y * (2 - x * y) & 0xFFFFFFFFFFFFFFFF
-    return y
+def mix(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser; bijective."""
+    x = x ^ (x >> _U(33))
+    x = x * _U(0xFF51AFD7ED558CCD)
+    x = x ^ (x >> _U(33))
+    x = x * _U(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> _U(33))
 
 
-class _Powers:
-    """Powers of an odd base modulo 2**64 and of its inverse, grown on demand."""
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of what a stands for followed by what b does. Mixed at each step, so no sum of powers can cancel out."""
+    return mix((a ^ (a << _U(23))) * _STEP + mix(b + _TURN))
 
-    def __init__(self, base: np.uint64):
-        self.base, self.inv = base, _U(_inverse(int(base)))
-        self.up = self.down = np.ones(1, np.uint64)
 
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 1 << 16)
-            with np.errstate(over="ignore"):
-                self.up = np.concatenate(([_U(1)], np.cumprod(np.full(size - 1, self.base))))
-                self.down = np.concatenate(([_U(1)], np.cumprod(np.full(size - 1, self.inv))))
-        return self.up[:n], self.down[:n]
+def lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on (little-endian), zeros beyond the end."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
 
 
-_BYTES, _WORDS = _Powers(_BASE), _Powers(_STEP)
+def _lowest(n: np.ndarray) -> np.ndarray:
+    """Masks of the lowest n bytes of eight."""
+    return np.where(n >= 8, ~_U(0), (_U(1) << (_U(8) * np.minimum(n, 7).astype(np.uint64))) - _U(1))
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser; bijective."""
-    x = x ^ (x >> _U(33))
-    x = x * _U(0xFF51AFD7ED558CCD)
-    x = x ^ (x >> _U(33))
-    x = x * _U(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> _U(33))
+def _hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges, mixed after every eight bytes."""
+    size, eight = end - start, lanes(data)
+    out = mix(size.astype(np.uint64) * _STEP + _TURN)
+    for k in range(0, min(int(size.max(initial=0)), _LONG), 8):
+        on = np.flatnonzero((size > k) & (size <= _LONG)) if k else np.flatnonzero(size <= _LONG)
+        left = size[on] - k
+        out[on] = mix((out[on] ^ (eight[start[on] + k] & _lowest(left))) * _STEP + _U(k + 1))
+    for i in np.flatnonzero(size > _LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[start[i] : end[i]].tobytes())
+    return out
 
 
 class Words:
@@ -110,29 +144,33 @@ class Words:
         n = len(data)
         self.data, self.offs = data, offs
         solid = ~_IS_SPACE[data]
-        joined = np.zeros(n + 1, bool)  # byte i continues the word of byte i - 1
+        joins = np.zeros(n + 1, bool)  # byte i continues the word of byte i - 1
         if n:
-            joined[1:n] = solid[1:] & solid[:-1]
-            joined[offs[offs < n]] = False
-        self.start = np.flatnonzero(solid & ~joined[:n])
-        self.end = np.flatnonzero(solid & ~joined[1:]) + 1
+            joins[1:n] = solid[1:] & solid[:-1]
+            joins[offs[offs < n]] = False
+        self.start = np.flatnonzero(solid & ~joins[:n])
+        self.end = np.flatnonzero(solid & ~joins[1:]) + 1
         self.first = np.searchsorted(self.start, offs)
-        up, down = _BYTES.upto(n + 1)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + _U(1)) * up[:n], out=total[1:])
-        self.hash = mix((total[self.end] - total[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
-
-    def sums(self) -> np.ndarray:
-        """Prefix sums from which range() hashes any run of words."""
-        up, _ = _WORDS.upto(len(self.hash) + 1)
-        out = np.zeros(len(self.hash) + 1, np.uint64)
-        np.cumsum(self.hash * up[:-1], out=out[1:])
+        self.hash = _hashed(data, self.start, self.end)
+
+    def at(self, places: np.ndarray, n: int) -> np.ndarray:
+        """Hash of the n words from each place, equal wherever the same words stand."""
+        out = self.hash[places]
+        for k in range(1, n):
+            out = joined(out, self.hash[places + k])
         return out
 
-    def range(self, sums: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
-        """Hash of the words at..to, equal wherever the same words stand."""
-        _, down = _WORDS.upto(len(self.hash) + 1)
-        return mix((sums[to] - sums[at]) * down[at] + (to - at).astype(np.uint64))
+    def runs(self, n: int) -> np.ndarray:
+        """Hash of the n words from every place that has so many, by doubling."""
+        total = max(0, len(self.hash) - n + 1)
+        out, power, size, done = None, self.hash, 1, 0
+        while True:
+            if n & size:
+                out = power[:total] if out is None else joined(out, power[done : done + total])
+                done += size
+            if done == n:
+                return out
+            power, size = joined(power[:-size], power[size:]), 2 * size
 
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
