@@ -33,12 +33,28 @@ def words(t):
     return re.findall(r"[^\x20\x09-\x0D]+", t or "")
 
 
+def test_directory_doubles_without_a_cap(spark):
+    """Keys crowded into a small range: buckets there split until they fit, and every key finds its own through the cells."""
+    from tramline.llm.exact_dedup import directory
+
+    keys = [(k - 20) * (1 << 58) // 10 for k in range(40)]
+    found = directory(spark.createDataFrame([(k,) for k in keys], "key long"), 4).collect()
+    (bits,) = {r.bits for r in found}
+    by_cell = {r.cell: (r.bucket, r.depth) for r in found}
+    held = defaultdict(int)
+    for k in keys:
+        held[by_cell[(k % 2**64) >> (64 - bits)]] += 1
+    assert bits > 0 and max(held.values()) <= 4 and max(d for _, d in held) == bits
+    few = directory(spark.createDataFrame([(1,), (2,)], "key long"), 4).collect()
+    assert [(r.cell, r.bits, r.bucket) for r in few] == [(0, 0, 0)]
+
+
 @pytest.mark.parametrize("bits", [64, 2])
 def test_exact_dedup(spark, bits):
-    from tramline.llm.exact_dedup import exact_dedup
+    from tramline.llm.exact_dedup import digest, exact_dedup
 
-    rows = ODD + [(100 + i, f"t{i % 7}  x") for i in range(60)]
-    found = sorted((tuple(r) for r in exact_dedup(table(spark, rows), capacity=4, max_depth=4, key_bits=bits).collect()), key=str)
+    rows = ODD + [(100 + i, f"t{i % 7}  x") for i in range(60)] + [(2**63 - 1, "the last id"), (2**63 - 1, "t1 x")]
+    found = sorted((tuple(r) for r in digest(exact_dedup(table(spark, rows), capacity=4, key_bits=bits)).collect()), key=str)
     norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
     by = defaultdict(list)
     for i, t in rows:

@@ -40,7 +40,7 @@ def op5_nearest_neighbours(spark, sf_dir):
 
 
 def op6_exact_dedup(spark, sf_dir):
-    return exact_dedup.exact_dedup(documents(spark, sf_dir))
+    return exact_dedup.digest(exact_dedup.exact_dedup(documents(spark, sf_dir)))
 
 
 def op7_pii(spark, sf_dir):
