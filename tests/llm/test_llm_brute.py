@@ -263,12 +263,14 @@ def test_nearest_neighbours(spark):
     x = rng.standard_normal((1500, 24))
     x[700:760] = x[700]
     rows = [(i, [float(v) for v in r], 1, 2) for i, r in enumerate(x)]
-    rows += [(2000, None, 1, 1), (2100, [0.0] * 24, 1, 1), (2200, [float("nan")] * 24, 1, 1), (2300, [None] * 24, 1, 1), (2400, [1.0, 2.0], 1, 1), (2401, [1.0, 2.5], 1, 1), (None, [1.0] * 24, 1, 1), rows[5]]
+    rows += [(2000, None, 1, 1), (2100, [0.0] * 24, 1, 1), (2200, [float("nan")] * 24, 1, 1), (2300, [None] * 24, 1, 1), (2400, [1.0, 2.0], 1, 1), (2401, [1.0, 2.5], 1, 1), (None, [1.0] * 24, 1, 1), (3000, [5.0, 5.0, 5.0], 1, 1), (3000, [5.0, 5.0, 5.0], 2, 2), (3000, [5.0, 5.0, 7.0], 1, 1), (3001, [5.0, 5.0, 6.0], 1, 1)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, cell int, id int")
     got = defaultdict(list)
-    for r in nearest_neighbours(df, part=300).orderBy("query_id", "rank").collect():
+    for r in nearest_neighbours(df, rows_a_block=300, queries_a_block=4).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.vec_id, r.score))
-        assert r["rank"] == len(got[r.query_id])
+        assert r["rank"] == len(got[r.query_id]) or r.query_id == 3000
+    # Each of three rows that share a vec_id asks, and meets the other two.
+    assert sorted(got.pop(3000)) == sorted([(3000, 0.0), (3001, 1.0), (3000, 2.0)] * 2 + [(3001, 1.0), (3000, 2.0), (3000, 2.0)])
     assert [v for v, _ in got.pop(2400)] == [2401]
     assert sorted(got) == list(range(0, 1500, 100))
     hit = 0

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-POSTINGS = "dim int, tab int, cell int, asks boolean, id long, v binary"
-NEAR = "query_id long, vec_id long, score double"
+from tramline.llm.shared import staged
+
+NEAR = "query_id long, kin long, times long, vec_id long, copies long, score double"
 
 
 class Rotations:
@@ -49,122 +48,111 @@ def cells(y: np.ndarray, probes: int) -> np.ndarray:
     return 2 * top + (np.take_along_axis(y, top, 1) < 0)
 
 
-def nearest(queries: np.ndarray, q_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Exact k nearest rows of each query other than itself, ties to the smaller id: query index, id, distance.
+def candidates(own: list[np.ndarray], probed: list[np.ndarray], n: int) -> np.ndarray:
+    """Places of the rows, of n, that are in a probed cell of any table; own: by table, the rows of each cell."""
+    hit = np.zeros(n, bool)
+    for of_cell, cells_ in zip(own, probed, strict=True):
+        for c in cells_:
+            hit[of_cell[c]] = True
+    return np.flatnonzero(hit)
+
+
+def nearest(query: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k nearest rows, ties to the smaller id, and their distances.
 
-    Distances by matrix product choose who may be among the k, with room for rounding; theirs are then taken exactly.
+    Distances by products choose who may be among the k, with room for rounding; theirs are then taken exactly.
     """
-    out_q, out_i, out_d = [], [], []
-    norm = (rows * rows).sum(1)
-    for at in range(0, len(queries), 256):
-        part = queries[at : at + 256]
-        rough = norm[None] - 2 * part @ rows.T + (part * part).sum(1)[:, None]
-        slack = 1e-9 * (1 + norm.max(initial=0) + (part * part).sum(1))
-        for j in range(len(part)):
-            d = rough[j]
-            own = ids == q_ids[at + j]
-            d[own] = np.inf
-            n = min(k, len(d) - int(own.sum()))
-            if n <= 0:
-                continue
-            may = np.flatnonzero((d <= np.partition(d, n - 1)[n - 1] + 2 * slack[j]) & ~own) if np.isfinite(d).any() else np.flatnonzero(~own)
-            exact = np.sqrt(((rows[may] - part[j]) ** 2).sum(1))
-            best = np.lexsort((ids[may], exact))[:n]
-            out_q.append(np.full(len(best), at + j))
-            out_i.append(ids[may][best])
-            out_d.append(exact[best])
-    if not out_q:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    return np.concatenate(out_q), np.concatenate(out_i), np.concatenate(out_d)
+    n = min(k, len(rows))
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0)
+    norm, own = np.einsum("ij,ij->i", rows, rows), float(query @ query)
+    rough = norm - 2 * (rows @ query) + own
+    slack = 1e-9 * (1 + norm.max() + own)
+    may = np.flatnonzero(rough <= np.partition(rough, n - 1)[n - 1] + 2 * slack) if np.isfinite(rough).all() else np.arange(len(rows))
+    exact = np.sqrt(((rows[may] - query) ** 2).sum(1))
+    best = np.lexsort((ids[may], exact))[:n]
+    return may[best], exact[best]
 
 
 def _valid(vectors: DataFrame) -> DataFrame:
-    """vec_id, v: one vector for each vec_id, null and zero vectors and null or non-finite components left out."""
+    """vec_id, v, kin (hash of v), dim, copies: equal rows as one; vectors that take no part left out."""
     v = F.col("embedding").cast("array<double>")
     fine = F.col("vec_id").isNotNull() & v.isNotNull() & F.forall(v, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))) & F.exists(v, lambda x: x != 0)
-    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(fine).groupBy("vec_id").agg(F.min("v").alias("v"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(fine).groupBy("vec_id", "v").agg(F.count("*").alias("copies"))
+    return rows.select("vec_id", "v", F.xxhash64("v").alias("kin"), F.size("v").alias("dim"), "copies")
 
 
-def nearest_neighbours(vectors: DataFrame, query_every: int = 100, k: int = 10, tables: int = 16, probes: int = 8, part: int = 4096, seed: int = 3) -> DataFrame:
+def nearest_neighbours(vectors: DataFrame, query_every: int = 100, k: int = 10, tables: int = 16, probes: int = 8, rows_a_block: int = 16_384, queries_a_block: int = 4_096, seed: int = 3) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k nearest vectors found for each query, by Euclidean distance.
 
-    Queries are the vectors whose vec_id is divisible by `query_every`, candidates all vectors but the query. A vector
-    that is null, zero or holds a null or non-finite component takes no part; nor does a null vec_id. Rows that share
-    a vec_id are one vector, the smallest by its components. A query meets only vectors of its own length. Ties go to
+    Queries are the rows whose vec_id is divisible by `query_every`, candidates all rows but the query's own; rows that
+    share a vec_id are rows of their own, as queries and as candidates. A vector that is null, zero or holds a null or
+    non-finite component takes no part; nor does a null vec_id. A query meets only vectors of its own length. Ties go to
     the smaller vec_id. Other columns are ignored. No rows give no rows.
 
     Every vector is hashed into one cell of each table: the signed axis that its direction is nearest to after a
-    rotation. A query asks the `probes` nearest cells of each. Nothing is fitted. A cell of more than `part` vectors is dealt
-    into parts by hash and each part answers, as do parts of a cell's queries, so that no cell is cut short and no
-    task holds more than two parts. A query that found fewer than k asks all vectors, in parts.
+    rotation. A query asks the `probes` nearest cells of each, and what they hold is reranked by exact distance. Nothing is
+    fitted. Rows are dealt by hash into blocks of about `rows_a_block`, each with tables of its own, and the queries into blocks of
+    about `queries_a_block`; a task answers one block of queries from one block of rows, so that a vector travels once for
+    each block of queries, no cell is cut short, and no task holds more than two blocks. A query that found fewer
+    than k asks the blocks again, without cells.
     """
-    base = _valid(vectors)
-    spark = vectors.sparkSession
-    spots = {}
-
-    def rotate(dim):
-        if dim not in spots:
-            spots[dim] = Rotations(dim, tables, seed)
-        return spots[dim]
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2048):
-                b = whole.slice(at, 2048)
-                ids, lists = b.column("vec_id").to_numpy(), b.column("v")
-                sizes = np.diff(lists.offsets.to_numpy())
-                flat, starts = lists.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(sizes)))
-                for dim in np.unique(sizes):
-                    of = np.flatnonzero(sizes == dim)
-                    x = flat[starts[of][:, None] + np.arange(dim)]
-                    unit = x / np.abs(x).max(1)[:, None]
-                    unit /= np.linalg.norm(unit, axis=1)[:, None]
-                    raw = [r.tobytes() for r in x]
-                    asks = np.flatnonzero(ids[of] % query_every == 0)
-                    for t in range(tables):
-                        y = rotate(int(dim))(unit, t)
-                        own, probe = cells(y, 1)[:, 0], cells(y[asks], probes)
-                        who = np.concatenate((np.arange(len(of)), np.repeat(asks, probe.shape[1])))
-                        n = len(who)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(n, dim, np.int32)), pa.array(np.full(n, t, np.int32)), pa.array(np.concatenate((own, probe.ravel())).astype(np.int32)), pa.array(np.arange(n) >= len(of)), pa.array(ids[of][who]), pa.array([raw[i] for i in who], pa.binary())],
-                            ["dim", "tab", "cell", "asks", "id", "v"],
-                        )
-
-    def answered(postings: DataFrame) -> DataFrame:
-        """The k nearest within each part of a cell, for each query that asks there."""
-        cell = ["dim", "tab", "cell"]
-        counts = postings.groupBy(*cell).agg(F.sum((~F.col("asks")).cast("long")).alias("n"), F.sum(F.col("asks").cast("long")).alias("nq"))
-        counts = counts.where("nq > 0 AND n > 0").select(*cell, F.ceil(F.col("n") / part).cast("int").alias("parts"), F.ceil(F.col("nq") / part).cast("int").alias("q_parts"))
-        rows = postings.join(counts, cell)
-        own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-        upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-        rows = rows.withColumn("p", F.explode(F.when(F.col("asks"), upto("parts")).otherwise(F.array(own("parts")))))
-        rows = rows.withColumn("q", F.explode(F.when(F.col("asks"), F.array(own("q_parts"))).otherwise(upto("q_parts"))))
+    base = staged(_valid(vectors))
+    asks = F.col("vec_id") % query_every == 0
+    parts = base.groupBy("dim").agg(F.ceil(F.count("*") / rows_a_block).cast("int").alias("parts"), F.ceil(F.sum(asks.cast("long")) / queries_a_block).cast("int").alias("q_parts"), F.sum("copies").alias("there"))
+    base = base.join(staged(parts), "dim")
+
+    def answered(queries: DataFrame, hashed: bool) -> DataFrame:
+        """The k nearest that each query finds in each block of rows."""
+        mine = lambda n: F.array(F.pmod(F.xxhash64("vec_id", "kin"), F.col(n)).cast("int"))
+        every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+        cols = ["dim", "p", "q", "asks", "vec_id", "kin", "copies", "v"]
+        held = base.where("q_parts > 0").withColumn("asks", F.lit(False)).withColumn("p", mine("parts")[0]).withColumn("q", F.explode(every("q_parts")))
+        asked = queries.withColumn("asks", F.lit(True)).withColumn("q", mine("q_parts")[0]).withColumn("p", F.explode(every("parts")))
 
         def answer(key, group):
-            dim = key[0].as_py()
-            asks = group.column("asks").to_numpy()
-            ids = group.column("id").to_numpy()
-            v = np.frombuffer(b"".join(group.column("v").to_pylist()), float).reshape(-1, dim)
-            q, i, d = nearest(v[asks], ids[asks], v[~asks], ids[~asks], k)
-            return pa.Table.from_arrays([pa.array(ids[asks][q]), pa.array(i), pa.array(d)], ["query_id", "vec_id", "score"])
-
-        return rows.select(*cell, "p", "q", "asks", "id", "v").groupBy(*cell, "p", "q").applyInArrow(answer, NEAR)
-
-    def best(found: DataFrame) -> DataFrame:
-        one = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-        return one.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))).where(F.col("rank") <= k)
+            dim, of = key[0].as_py(), group.column("asks").to_numpy()
+            ids, kin, copies = (group.column(c).to_numpy() for c in ("vec_id", "kin", "copies"))
+            v = group.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            rows, r_ids, r_kin, r_copies = v[~of], ids[~of], kin[~of], copies[~of]
+            queries = v[of]
+            if hashed and len(rows) and len(queries):
+                turn, unit, q_unit = Rotations(dim, tables, seed), _unit(rows), _unit(queries)
+                own, probed = [], []
+                for t in range(tables):
+                    cell = cells(turn(unit, t), 1)[:, 0]
+                    order = np.argsort(cell, kind="stable")
+                    own.append(np.split(order, np.searchsorted(cell[order], np.arange(1, 2 * turn.width))))
+                    probed.append(cells(turn(q_unit, t), probes))
+            out: list[list[np.ndarray]] = [[], [], [], []]
+            for j, query in enumerate(queries):
+                at = candidates(own, [x[j] for x in probed], len(rows)) if hashed and len(rows) else np.arange(len(rows))
+                alone = (r_ids[at] == ids[of][j]) & (r_kin[at] == kin[of][j]) & (r_copies[at] == 1)
+                at = at[~alone]
+                best, score = nearest(query, rows[at], r_ids[at], k)
+                at = at[best]
+                same = (r_ids[at] == ids[of][j]) & (r_kin[at] == kin[of][j])
+                for col, x in zip(out, (np.full(len(at), j), r_ids[at], r_copies[at] - same, score), strict=True):
+                    col.append(x)
+            j, found, there, score = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in out)
+            j = j.astype(np.int64)
+            return pa.Table.from_arrays([pa.array(x) for x in (ids[of][j], kin[of][j], copies[of][j], found, there, score.astype(float))], ["query_id", "kin", "times", "vec_id", "copies", "score"])
+
+        found = held.select(cols).unionByName(asked.select(cols)).groupBy("dim", "p", "q").applyInArrow(answer, NEAR)
+        each = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)))))
+        order = Window.partitionBy("query_id", "kin").orderBy("score", "vec_id", "copy")
+        return each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "kin", "times", "rank", "vec_id", "score")
+
+    queries = base.where(asks)
+    found = staged(answered(queries, True))
+    full = found.groupBy(F.col("query_id").alias("vec_id"), "kin").agg(F.count("*").alias("n"))
+    few = staged(queries.join(full, ["vec_id", "kin"], "left").where(F.coalesce("n", F.lit(0)) < F.least(F.lit(k), F.col("there") - 1)).drop("n"))
+    if not few.isEmpty():
+        rest = answered(few, False)
+        found = found.join(few.select(F.col("vec_id").alias("query_id"), "kin"), ["query_id", "kin"], "left_anti").select(*rest.columns).unionByName(rest)
+    return found.withColumn("time", F.explode(F.sequence(F.lit(1), "times"))).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
-    from tramline.llm.shared import staged
 
-    base = staged(base)
-    found = staged(best(answered(base.mapInArrow(hashed, POSTINGS))))
-    asking = base.where(F.col("vec_id") % query_every == 0)
-    few = staged(asking.join(found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti"))
-    if not few.isEmpty():
-        raw = F.udf(lambda v: np.array(v, float).tobytes(), "binary")
-        row = lambda df, asks: df.select(F.size("v").alias("dim"), F.lit(-1).alias("tab"), F.lit(0).alias("cell"), F.lit(asks).alias("asks"), F.col("vec_id").alias("id"), raw("v").alias("v"))
-        rest = best(answered(row(base, False).unionByName(row(few, True))))
-        found = found.join(few.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(rest.select(*found.columns))
-    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(1)[:, None]
+    return x / np.linalg.norm(x, axis=1)[:, None]
