@@ -331,7 +331,9 @@ def test_pieces(spark):
     by_id = {i: (piece, s) for piece, (s, i) in p.ids.items()}
     for _, t in rows[-12:]:
         t = t[:1500]
-        ids = p.encode(t).tolist()
+        ids = np.frombuffer(p.encode(t), "<u4").tolist()
+        given = list(p.stream(t[k : k + 7] if k else " " + t[:7] for k in range(0, len(t), 7)))
+        assert [i for x in given for i in x] == ids and len(given) > len(t) // 60
         assert b"".join(p.out[i] for i in ids).decode()[1:] == t
         if all(i in by_id for i in ids):
             assert sum(by_id[i][1] for i in ids) == best(t)
