@@ -171,28 +171,68 @@ def test_pii(spark):
 
 
 def test_toxicity(spark):
-    from tramline.llm.toxicity import Lexicon, fold, score_toxicity, without_toxic
+    import math
+
+    from tramline.llm.toxicity import Lexicon, fold, learn, score_toxicity, without_toxic
 
     assert fold("Lоѕer! 1d10t") == fold("loser idiot") == " ioser idiot "
     lex = Lexicon({" idiot ": 5.0}, [" idiot proof "], [0, 1, 0, 0])
     assert lex.features("You Ιd1οt")[0] == 5.0 and lex.features("idiot-proof idiot")[0] == 5.0 and lex.features("")[0] == 0.0
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    lexicon = learn(docs, labels, min_support=4)
+    assert lexicon.weights
+
+    def naive(text):
+        """Every entry tried at every place of the folded text."""
+        folded = fold(text)
+        places = lambda e: [k for k in range(len(folded)) if folded.startswith(e, k)]
+        best = {}
+        for e, w in lexicon.weights.items():
+            for k in places(e):
+                best[k] = max(best.get(k, 0.0), w)
+        spared = {k for e in lexicon.exceptions for at in places(e) for k in range(at, at + len(e))}
+        hits = [w for k, w in best.items() if k not in spared and w > 0]
+        n = max(1, len(folded.split()))
+        a, b, c = sum(hits), sum(hits) / n, len(hits) / n
+        z = sum(x * y for x, y in zip((1, math.log1p(a), math.log1p(100 * b), 100 * c), lexicon.curve, strict=True))
+        return 1 / (1 + math.exp(-max(-40, min(40, z))))
+
     got = {r.doc_id: r for r in score_toxicity(docs, labels, min_support=4).collect()}
     assert len(got) == docs.count()
-    held = [(got[r.doc_id].predicted, r.toxic) for r in labels.collect() if got[r.doc_id].held_out]
-    assert sum(a == b for a, b in held) >= 0.9 * len(held)
+    for r in docs.where("length(text) < 3000").limit(60).collect() + docs.join(labels.where("toxic = 1"), "doc_id").where("length(text) < 3000").limit(40).collect():
+        assert abs(got[r.doc_id].score - naive(r.text)) < 1e-9 and got[r.doc_id].predicted == (got[r.doc_id].score >= 0.5)
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
     none = table(spark, [])
     assert score_toxicity(none, labels).count() == 0
     assert {r.score < 0.01 for r in score_toxicity(table(spark, ODD), labels.limit(0)).collect()} == {True}
     assert without_toxic(table(spark, ODD), labels).count() == len(ODD)
 
 
-@pytest.mark.parametrize(("window", "anchor"), [(50, 10), (6, 2)])
-def test_substring_dedup(spark, window, anchor):
+def test_factors():
+    """The greedy parse finds each window that a reference block has, and its factors are as long as words agree."""
+    import random
+
+    from tramline.llm.substring_dedup import Reference
+
+    rng = random.Random(1)
+    for _ in range(300):
+        refs = [[rng.choice("abc") for _ in range(rng.randint(3, 20))] for _ in range(rng.randint(0, 4))]
+        text = [rng.choice("abc") for _ in range(rng.randint(3, 25))]
+        reference = Reference(3)
+        for r in refs:
+            reference.add(" ".join(r).encode())
+        found = reference.factors(" ".join(text).encode())
+        covered = {k + i for k, size in found for i in range(size - 2)}
+        assert covered == {k for k in range(len(text) - 2) if any(text[k : k + 3] == r[j : j + 3] for r in refs for j in range(len(r) - 2))}
+        assert all(any(text[k : k + size] == r[j : j + size] for r in refs for j in range(len(r))) for k, size in found)
+
+
+@pytest.mark.parametrize(("window", "anchor", "most"), [(50, 10, 4_000), (6, 2, 4_000), (6, 2, 3)])
+def test_substring_dedup(spark, window, anchor, most):
     from tramline.llm.substring_dedup import digest, without_repeats
 
     rows = ODD + [(1000 + i, t) for i, t in real(spark)] + [(400 + i, "start " * (i % 3) + BASE + " x" * i + " " + BASE[10 * i :]) for i in range(12)] + [(390, "a b c " * 80), (391, "b c a " * 70)]
-    got = sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in digest(without_repeats(table(spark, rows), window, anchor)).collect())
+    got = sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in digest(without_repeats(table(spark, rows), window, anchor, most)).collect())
     first = {}
     big = 2**63 - 1
     for i, t in rows:

@@ -59,3 +59,48 @@ def test_revealing_terms_far_from_the_entity(spark):
     assert {(4 if k == "term" else 0, at) for k, at in want} <= set(spans[0]) and not spans[10]
     clean = {r.doc_id: r.text for r in sanitised(docs).collect()}
     assert all("zebulon" not in clean[i].lower() and gap in clean[i] for i in range(4)) and clean[12] == rows[6][1]
+
+
+def test_toxic_rows_of_the_held_out_fold(spark):
+    """Recall on toxic rows and share of clean rows rejected, with production parameters; accuracy alone would say little."""
+    from tramline.llm.toxicity import score_toxicity
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = score_toxicity(docs.join(labels, "doc_id", "left_semi"), labels).where("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
+    toxic, clean = ([r.predicted for r in rows if r.toxic == k] for k in (1, 0))
+    assert sum(toxic) >= 0.88 * len(toxic) > 50 and sum(clean) <= 0.01 * len(clean)
+
+
+def test_words_made_to_share_a_polynomial_hash(spark):
+    """A Thue-Morse word and its complement cancel out in any sum of powers modulo 2**64; here they are two words."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tramline.llm.lm import score_documents
+    from tramline.llm.ngram_join import near_duplicates
+    from tramline.llm.packing import Encoder
+    from tramline.llm.substring_dedup import without_repeats
+    from pyspark.sql import functions as F
+
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    one, two = ("".join("ab"[b ^ x] for b in bits) for x in (0, 1))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, encode = Tokenizer.from_file(path), Encoder(path)
+    for w in (one, two, f"{one} {two}"):
+        assert encode(w) == b"".join(i.to_bytes(4, "little") for i in tok.encode(w, add_special_tokens=False).ids)
+    tail = " ".join(f"word{k}" for k in range(60))
+    lists = [" ".join("ab"[b ^ x] for b in bits) for x in (0, 1)]
+    docs = spark.createDataFrame([(1, one), (2, two), (3, f"{one} {tail}"), (4, f"{two} {tail}"), (5, lists[0]), (6, lists[1])], DOCS)
+    classes = {r.doc_id: r.class_id for r in near_duplicates(docs).collect()}
+    assert classes[1] != classes[2]
+    counts = {r.doc_id: (r.n_known, r.train_tokens) for r in score_documents(docs, F.col("doc_id") == 2, vocabulary=50).collect()}
+    assert counts[2] == (2, 2 + 62 + 62 + 1025 + 1025)  # `two` stands in document 4 as well, every text has an end
+    alone = {r.doc_id: r.n_known for r in score_documents(docs.where("doc_id < 3"), F.col("doc_id") == 2, vocabulary=50).collect()}
+    assert alone[2] == 1  # its end alone
+    gone = {r.doc_id: r.n_removed for r in without_repeats(docs).collect()}
+    seen = {tuple(lists[0].split()[k : k + 50]) for k in range(975)}
+    own, covered = lists[1].split(), set()
+    for k in range(975):
+        if tuple(own[k : k + 50]) in seen:
+            covered.update(range(k, k + 50))
+    assert gone[4] == 60 and gone[2] == 0 and gone[6] == len(covered)

@@ -94,8 +94,13 @@ class Lexicon:
             elif w > best.get(at, 0.0):
                 best[at] = w
         if spared and best:
-            for a, b in spared:
-                for k in [k for k in best if a <= k < b]:
+            spared.sort()
+            until, i = 0, 0
+            for k in sorted(best):
+                while i < len(spared) and spared[i][0] <= k:
+                    until = max(until, spared[i][1])
+                    i += 1
+                if k < until:
                     del best[k]
         n_words = max(1, folded.count(" ") - 1)
         total = sum(best.values())
@@ -149,15 +154,17 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 12_000, min_support:
     """A lexicon from at most `sample` labelled rows outside the held-out fold (crc32(doc_id) mod 5 is 0).
 
     `sample`, the stated bound, takes the rows whose doc_id hashes lowest, so it is the same at each run. A doc_id
-    labelled twice counts as toxic if either label says so; null labels and null doc_ids are left out. Every term
+    labelled twice counts as toxic if either label says so, and of rows that share one the text of the smallest hash is its
+    text; null labels and null doc_ids are left out. What reaches the driver is bounded by the sample. Every term
     of min_support toxic texts and min_precision becomes an entry. Without both classes the lexicon is empty
     and every text scores 0.
     """
     spark = docs.sparkSession
     rows = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     train = rows.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = keyed(docs).join(F.broadcast(train), "doc_id").dropDuplicates(["doc_id", "th"])  # at most `sample` rows
-    texts = staged(texts.select("text", "toxic").repartition(12))
+    found = keyed(docs).join(F.broadcast(train), "doc_id")  # `train` has at most `sample` rows, one for each doc_id
+    texts = found.groupBy("doc_id").agg(F.min(F.struct("th", "text", "toxic")).alias("row"))
+    texts = staged(texts.select("row.text", "row.toxic").repartition(12))
     size = texts.agg(F.sum("toxic").alias("tox"), F.count("*").alias("n")).first()
     n_tox, n_clean = size.tox or 0, size.n - (size.tox or 0)
     if not n_tox or not n_clean:
