@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 import zlib
 from collections import defaultdict
 
@@ -338,12 +339,30 @@ def test_licences(spark):
     assert [m.licence for m in got[41].matches] == ["MIT notice", "CC-BY-NC-4.0 notice"] and got[41].matches[0].start == 2
     assert got[42].licence == "MIT notice (licensed)" and got[43].licence == "BSD-3-Clause" and got[44].licence is None
     assert all(got[i].licence is None for i in (1, 3, 5, 7, 9, 11, 12))
+    # A notice inside a longer line, a wrapped one next to prose, and whole licences.
+    line = "All code samples on this page are Licensed under the Apache License, Version 2.0. Have fun in the end"
+    prose = "In the end, all of the people of the town came to the old mill"
+    wrapped = "\n".join([prose, *textwrap.wrap(mit, 61), prose])
+    rows = [(1, line), (2, wrapped), (3, prose), (4, "x. " * 9 + TEMPLATES["ISC"] + " y" * 9), (5, " ".join(["Released under the MIT License."] * 300))]
+    got = {r.doc_id: r for r in scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].licence == "Apache-2.0 notice" and line[got[1].matches[0].start : got[1].matches[0].end] == "Licensed under the Apache License, Version 2.0"
+    assert got[2].licence == "MIT" and got[2].dice > 0.9 and got[3].licence is None and got[4].licence == "ISC" and got[4].dice == 1.0
+    assert got[5].n_matches == 300
+    assert scan_licences(table(spark, [])).count() == 0
+    # Both ways: a text has a match where, and only where, some line, run, whole text or window of words reaches 0.9.
     word = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
-    for i, t in real(spark):
-        lines = [bigrams(word.findall(x.lower())) for x in t.split("\n")]
-        best = max((2 * len(g & s) / (len(g) + len(s)) for g in lines if g for s in (bigrams(word.findall(x.lower())) for x in TEMPLATES.values())), default=0)
-        (r,) = scan_licences(table(spark, [(i, t)])).collect() if best >= 0.9 else [None]
-        assert r is None or abs(r.dice - best) < 1e-12
+    sets = [bigrams(word.findall(x.lower())) for x in TEMPLATES.values()]
+    some = [(i, t) for i, t in real(spark) if len(t or "") < 2500]
+    mine = {r.doc_id: r.dice for r in scan_licences(spark.createDataFrame(some, "doc_id long, text string")).collect()}
+    for i, t in some:
+        w = word.findall((t or "").lower())
+        lines = [word.findall(x.lower()) for x in (t or "").split("\n")]
+        units = [x for x in [*lines, w] if x]
+        for s in sets:
+            units += [w[k : k + len(s) + 1] for k in range(len(w) - len(s))] if len(s) < 12 else []
+        best = max((2 * len(g & s) / (len(g) + len(s)) for u in units for g in [bigrams(u)] for s in sets if 0.8 * len(s) < len(g) < 1.25 * len(s)), default=0)
+        assert best < 0.9 or mine[i] >= best - 1e-12, (i, best, mine[i])
+        assert mine[i] is None or best >= 0.9, (i, best, mine[i])
 
 
 def test_pieces(spark):
