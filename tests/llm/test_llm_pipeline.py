@@ -33,6 +33,10 @@ def test_stages(spark):
     packed = c.pack(spark, kept[-1], sf)
     assert {r.doc_id for r in packed.collect()} == set(text[4])
     assert c.run(spark, sf).count() == packed.count()
+    none = docs.limit(0)
+    for _, stage in c.STAGES:
+        out = stage(spark, none, sf)
+        assert out.count() == 0
     odd = table(spark, ODD)
     for _, stage in c.STAGES[1:-1]:
         odd = spark.createDataFrame(stage(spark, odd, sf).collect(), odd.schema)

@@ -61,6 +61,18 @@ def test_revealing_terms_far_from_the_entity(spark):
     assert all("zebulon" not in clean[i].lower() and gap in clean[i] for i in range(4)) and clean[12] == rows[6][1]
 
 
+def test_terms_are_generalised_by_what_they_are(spark):
+    """A term whose share is between the thresholds gives way to its class, one above to nothing; entities to their kind."""
+    from tramline.llm.pii import sanitised
+
+    # bob is in 8 of 400 documents; "Harbour" and "4711" in these 8 and 10 others, "Zebulon" in these 8 alone.
+    rows = [(i, f"Zebulon of Harbour 4711 wrote x{i}y from bob@example.com") for i in range(8)]
+    rows += [(10 + i, f"Harbour 4711 and line x{i}") for i in range(8)] + [(100 + i, f"plain line of what he wrote from {i}") for i in range(384)]
+    clean = {r.doc_id: r.text for r in sanitised(spark.createDataFrame(rows, DOCS)).collect()}
+    assert clean[3] == " of [NAME] [NUMBER OF 4 DIGITS] wrote x3y from [EMAIL]", clean[3]
+    assert clean[12] == rows[10][1] and clean[200] == "plain line of what he wrote from 100"
+
+
 def test_toxic_rows_of_the_held_out_fold(spark):
     """Recall on toxic rows and share of clean rows rejected, with production parameters; accuracy alone would say little."""
     from tramline.llm.toxicity import score_toxicity

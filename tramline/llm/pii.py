@@ -156,8 +156,15 @@ def find_personal_data(docs: DataFrame, min_support: int = 3, generalise: float
     return own.select("doc_id", "th", "base", in_order(F.concat("base", "added")).alias("spans"))
 
 
+def general_class(term: Column) -> Column:
+    """What a term is generalised to: numbers by how many digits they have, mixed terms, capitalised ones, other words."""
+    digits = F.concat(F.lit("[NUMBER OF "), F.length(term).cast("string"), F.lit(" DIGITS]"))
+    capital = F.regexp_like(term, F.lit(r"^\p{Lu}"))
+    return F.when(F.regexp_like(term, F.lit(r"^\p{N}+$")), digits).when(F.regexp_like(term, F.lit(r"\p{N}")), "[CODE]").when(capital, "[NAME]").otherwise("[WORD]")
+
+
 def sanitised(docs: DataFrame, **parameters) -> DataFrame:
-    """`docs` with each span of personal data replaced by its kind, revealing terms by a general class or nothing.
+    """`docs` with each span of personal data replaced by its kind, revealing terms by their class or, if they tell too much, nothing.
 
     All columns of `docs` stay; text is rewritten, and n_chars where there is one.
     """
@@ -168,7 +175,7 @@ def sanitised(docs: DataFrame, **parameters) -> DataFrame:
     joined = rows.join(found, rows["id"].eqNullSafe(found["doc_id"]) & (rows["key"] == found["th"]), "left")
 
     def step(a, s):
-        place = F.when(s["kind"] < 4, F.element_at(label, s["kind"] + 1)).when(s["value"] == "remove", "[REMOVED]").otherwise("[TERM]")
+        place = F.when(s["kind"] < 4, F.element_at(label, s["kind"] + 1)).when(s["value"] == "remove", "").otherwise(general_class(F.substring("body", s["start"] + 1, s["end"] - s["start"])))
         gap = F.when(s["start"] >= a["at"], F.concat(F.substring("body", a["at"] + 1, s["start"] - a["at"]), place)).otherwise("")
         return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.concat(a["out"], gap).alias("out"))
 
