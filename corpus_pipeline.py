@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tramline.llm import exact_dedup, ngram_join, packing, pii, toxicity
 from tramline.llm.registry import tokenizer
-from tramline.llm.shared import documents, staged
+from tramline.llm.shared import documents, release, staged
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +47,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each written to the shared folder and read again as the next one's input."""
+    """All stages over `documents`, each written to the shared folder and read again as the next one's input.
+
+    What a stage has left in the shared folder is removed once its result is written.
+    """
     docs = documents(spark, sf_dir)
     for _, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir))
+        release(spark, docs)
     return STAGES[-1][1](spark, docs, sf_dir)
