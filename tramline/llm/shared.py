@@ -51,10 +51,16 @@ def staged(df: DataFrame, by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def release(spark: SparkSession, *keep: DataFrame) -> None:
-    """Removes what staged() has written so far, but for the folders that `keep` reads. For when a result is written."""
-    held = {f.rpartition("/tramline-")[2].partition("/")[0] for df in keep for f in df.inputFiles()}
-    for path in [p for p in _FOLDERS if p.rpartition("/tramline-")[2] not in held]:
+def folders_made() -> int:
+    """How many folders staged() has made that are still there; release() goes back to it."""
+    return len(_FOLDERS)
+
+
+def release(spark: SparkSession, since: int, *keep: DataFrame) -> None:
+    """Removes the folders that staged() has made since, but for those that `keep` reads. For when a result is written."""
+    name = lambda path: path.rpartition("/tramline-")[2].partition("/")[0]
+    held = {name(f) for df in keep for f in df.inputFiles()}
+    for path in [p for p in _FOLDERS[since:] if name(p) not in held]:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
         _FOLDERS.remove(path)
