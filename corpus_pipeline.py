@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tramline.llm import exact_dedup, ngram_join, packing, pii, toxicity
 from tramline.llm.registry import tokenizer
-from tramline.llm.shared import documents, release, staged
+from tramline.llm.shared import documents, folders_made, release, staged
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     What a stage has left in the shared folder is removed once its result is written.
     """
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), folders_made()
     for _, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir))
-        release(spark, docs)
+        release(spark, before, docs)
     return STAGES[-1][1](spark, docs, sf_dir)
