@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramline.functions.scalars import canonical_order, clock_seconds, digest, direction, service_instant
-from tramline.operators.quality import conflicts
 from tramline.operators.windows import is_cancel, is_update
 
 
@@ -23,16 +22,32 @@ class Report:
 
 
 def trip_due_times(trips: DataFrame, stop_times: DataFrame, service_date: str, zone: str, grace_seconds: int) -> DataFrame:
-    """trip_id, scheduled_departure (of the first stop), scheduled_completion (latest departure), due_at; in ms."""
+    """trip_id, scheduled_departure (of the first stop), scheduled_completion (latest departure), due_at; in ms.
+
+    A trip without stop times is an error when the plan runs: nothing tells when it was due.
+    """
     day = F.lit(service_date).cast("date")
     s = stop_times.withColumn("at", service_instant(day, clock_seconds(F.col("departure_time")), zone) * 1000).withColumn("n", F.col("stop_sequence").cast("int"))
     due = s.groupBy("trip_id").agg(F.min_by("at", "n").alias("scheduled_departure"), F.max("at").alias("scheduled_completion"))
-    return trips.select("trip_id").join(due, "trip_id", "left").withColumn("due_at", F.col("scheduled_completion") + grace_seconds * 1000)
+    rows = trips.select("trip_id").join(due, "trip_id", "left")
+    there = F.coalesce("scheduled_completion", F.raise_error(F.concat(F.lit("no stop times for scheduled trip "), "trip_id")).cast("long"))
+    return rows.withColumn("scheduled_completion", there).withColumn("due_at", F.col("scheduled_completion") + grace_seconds * 1000)
+
+
+def distinct_or_error(events: DataFrame) -> DataFrame:
+    """One row for each event_id; rows that differ under one event_id are an error when the plan runs.
+
+    One aggregation both drops repeats and compares the records, so events are read once.
+    """
+    record = F.sha2(F.to_json(F.struct(*events.columns), {"ignoreNullFields": "false"}), 256)
+    one = events.groupBy("event_id").agg(F.first(F.struct(*events.columns)).alias("row"), F.min(record).alias("lo"), F.max(record).alias("hi"))
+    checked = F.when(F.col("lo") == F.col("hi"), F.col("row")).otherwise(F.raise_error(F.concat(F.lit("conflicting records for one event ID: "), "event_id")))
+    return one.select(checked.alias("row")).select("row.*")
 
 
 def labelled(events: DataFrame, trips: DataFrame, agency: str, version: str, service_date: str, as_of: int) -> DataFrame:
     """Distinct events of the agency and day with the first reason to leave them out, or null for evidence."""
-    rows = events.where((F.col("agency_id") == agency) & (F.col("service_date") == service_date)).dropDuplicates(["event_id"])
+    rows = distinct_or_error(events.where(F.col("agency_id") == agency)).where(F.col("service_date") == service_date)
     known = trips.select(F.col("trip_id").alias("_trip")).distinct()
     rows = rows.join(known, F.col("trip_id") == F.col("_trip"), "left")
     reason = (
@@ -74,15 +89,16 @@ def route_coverage(statuses: DataFrame) -> DataFrame:
 
 
 def coverage(events: DataFrame, trips: DataFrame, stop_times: DataFrame, *, agency: str, version: str, zone: str, service_date: str, as_of: int, grace_seconds: int = 300) -> Report:
-    """The report over active trips (trip_id, route_id, direction_id) and enriched events."""
+    """The report over active trips (trip_id, route_id, direction_id) and enriched events.
+
+    Trips are in order of their id, routes by route and direction, reasons by name. Conflicting records and trips without
+    stop times are errors of whatever action runs a frame of the report.
+    """
     if isinstance(grace_seconds, bool) or not isinstance(grace_seconds, int) or not 0 <= grace_seconds <= 86400:
         raise ValueError("grace seconds must be a whole number from 0 to 86400")
-    clash = conflicts(events.where(F.col("agency_id") == agency), "event_id")
-    if not clash.isEmpty():
-        raise ValueError("conflicting records for one event ID")
     due = trip_due_times(trips, stop_times, service_date, zone, grace_seconds)
     rows = labelled(events, trips, agency, version, service_date, as_of)
     status = trip_status(trips.select("trip_id", "route_id", "direction_id").join(due, "trip_id"), rows.where("excluded IS NULL"), as_of)
     header = {"schema_version": 1, "agency_id": agency, "schedule_version": version, "service_date": service_date, "as_of": as_of, "grace_seconds": grace_seconds, "agency_timezone": zone}
     excluded = rows.where("excluded IS NOT NULL").groupBy(F.col("excluded").alias("reason")).agg(F.count("*").alias("events"))
-    return Report(header, excluded, route_coverage(status), status)
+    return Report(header, excluded.orderBy("reason"), route_coverage(status).orderBy("route_id", "direction_id"), status.orderBy("trip_id"))

@@ -42,14 +42,22 @@ def last_exceptions(calendar_dates: DataFrame) -> DataFrame:
 def with_activity(rows: DataFrame, calendar: DataFrame, calendar_dates: DataFrame, day: str = "start_date") -> DataFrame:
     """Rows (schedule_version, service_id, a yyyyMMdd day) with `active`: an exception decides, else the calendar."""
     date = strict_date(F.col(day))
-    days = rows.select("schedule_version", "service_id", F.col(day).alias("_day")).distinct().withColumn("_weekday", weekday(strict_date(F.col("_day"))))
-    c = service_calendar(calendar).select(*[F.col(x).alias(f"c_{x}") for x in ("schedule_version", "service_id", "weekday", "start_date", "end_date")])
-    runs = days.join(c, (F.col("schedule_version") == F.col("c_schedule_version")) & (F.col("service_id") == F.col("c_service_id")) & (F.col("_weekday") == F.col("c_weekday")) & F.col("_day").between(F.col("c_start_date"), F.col("c_end_date")), "left_semi")
-    e = last_exceptions(calendar_dates)
-    known = days.join(runs.withColumn("_runs", F.lit(True)).drop("_weekday"), ["schedule_version", "service_id", "_day"], "left").join(e.withColumnRenamed("date", "_day"), ["schedule_version", "service_id", "_day"], "left")
-    known = known.select("schedule_version", "service_id", F.col("_day").alias(day), F.coalesce(F.col("exception_type") == "1", F.col("_runs"), F.lit(False)).alias("_active"))
-    out = rows.join(known, ["schedule_version", "service_id", day], "left")
-    return out.withColumn("active", date.isNotNull() & F.coalesce("_active", F.lit(False))).drop("_active")
+    out = rows.join(service_days(calendar, calendar_dates), ["schedule_version", "service_id"], "left")
+    on = F.exists("_runs", lambda r: F.col(day).between(r["start_date"], r["end_date"]) & (r["weekday"] == weekday(date)))
+    active = F.coalesce(F.element_at("_exceptions", F.col(day)) == "1", on, F.lit(False))
+    return out.withColumn("active", date.isNotNull() & active).drop("_runs", "_exceptions")
+
+
+def service_days(calendar: DataFrame, calendar_dates: DataFrame) -> DataFrame:
+    """One row for each (schedule_version, service_id): its weekly ranges, and its exceptions by date.
+
+    A service has seven ranges a calendar row and an exception a date, so its row is small; rows of any number meet
+    it in one join by equality, without being told apart by day first.
+    """
+    key = ["schedule_version", "service_id"]
+    runs = service_calendar(calendar).groupBy(*key).agg(F.collect_list(F.struct("weekday", "start_date", "end_date")).alias("_runs"))
+    exceptions = last_exceptions(calendar_dates).where("date IS NOT NULL").groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("date", "exception_type"))).alias("_exceptions"))
+    return runs.join(exceptions, key, "full")
 
 
 def unmatched_reason(version: Column, service: Column, start_date: Column, active: Column) -> Column:
