@@ -23,7 +23,9 @@ def lake(spark, tmp_path):
 def test_schedule_versions_advance(lake):
     body = zipped()
     v = K.load_schedule(lake, body, "demo", "2020-01-01T00:00:00+00:00")
-    assert K.load_schedule(lake, body, "demo", "2030-01-01T00:00:00+00:00") == v  # loaded before
+    assert K.load_schedule(lake, body, "demo", "2020-01-01T00:00:00+00:00") == v  # loaded before
+    with pytest.raises(ValueError, match="another beginning"):
+        K.load_schedule(lake, body, "demo", "2030-01-01T00:00:00+00:00")
     other = zipped(routes="route_id,agency_id,route_short_name,route_long_name,route_type\nR1,demo,2,Other,3\n")
     with pytest.raises(ValueError):
         K.load_schedule(lake, other, "demo", "2020-01-01T00:00:00+00:00")
@@ -32,6 +34,29 @@ def test_schedule_versions_advance(lake):
     assert lake.version("schedule_versions") == 1 and K.schedule(lake, v)["trips"].count() == 3
 
 
+def test_a_load_that_broke_off_is_taken_up(lake, monkeypatch):
+    body, append = zipped(), Lake.append
+
+    def broken(self, table, rows, **k):
+        if table == "schedule_versions":
+            raise OSError("gone")
+        return append(self, table, rows, **k)
+
+    monkeypatch.setattr(Lake, "append", broken)
+    with pytest.raises(OSError):
+        K.load_schedule(lake, body, "demo", "2020-01-01T00:00:00+00:00")
+    monkeypatch.setattr(Lake, "append", append)
+    v = K.load_schedule(lake, body, "demo", "2020-01-01T00:00:00+00:00")
+    assert K.schedule(lake, v)["trips"].count() == 3 and lake.version("schedule_trips") == 1 and lake.version("schedule_versions") == 1
+
+
+def test_archives_are_bounded(tmp_path):
+    (tmp_path / "a.zip").write_bytes(b"x" * 100)
+    assert K.fetch_archive(str(tmp_path / "a.zip")) == b"x" * 100
+    with pytest.raises(ValueError, match="larger"):
+        K.fetch_archive(str(tmp_path / "a.zip"), most=99)
+
+
 def test_coverage_replay_and_migration(spark, lake, tmp_path):
     v = K.load_schedule(lake, zipped(), "demo", "2020-01-01T00:00:00+00:00")
     t = K.schedule(lake, v)
@@ -51,12 +76,26 @@ def test_coverage_replay_and_migration(spark, lake, tmp_path):
     with pytest.raises(FileExistsError):
         K.pin(lake, required=("route_window_metrics",), path=str(tmp_path / "m.json"))
     manifest["created_at"] = K.instant("2026-09-10T17:00:00+00:00")
-    r = K.coverage_report(lake, manifest, "demo", "2026-09-10", "2026-09-10T16:00:00+00:00").routes.first()
+    whole = K.coverage_report(lake, manifest, "demo", "2026-09-10", "2026-09-10T16:00:00+00:00", v)
+    r = whole.routes.first()
+    K.write_report(whole, str(tmp_path / "r.json"))
+    with pytest.raises(FileExistsError):
+        K.write_report(whole, str(tmp_path / "r.json"))
+    with open(tmp_path / "r.json") as f:
+        told = json.load(f)
+    assert [x["trip_id"] for x in told["trips"]] == ["T1", "T2", "T3"] and len(told["schedule_digest"]) == 64 and told["schedule_version"] == v
+    with pytest.raises(ValueError, match="no such"):
+        K.coverage_report(lake, manifest, "demo", "2026-09-10", "2026-09-10T16:00:00+00:00", "else")
+    other = zipped(routes="route_id,agency_id,route_short_name,route_long_name,route_type\nR1,demo,2,Other,3\n")
+    later = K.load_schedule(lake, other, "demo", "2026-12-01T00:00:00+00:00")
+    assert K.schedule(lake, later, manifest["snapshots"])["trips"].count() == 0 < K.schedule(lake, later)["trips"].count()  # not yet there when pinned
     assert (r.scheduled_trip_count, r.telemetry_trip_count, r.canceled_trip_count, r.telemetry_coverage_rate) == (3, 2, 1, 1.0)
     with pytest.raises(ValueError, match="after snapshot"):
-        K.coverage_report(lake, manifest, "demo", "2026-09-10", "2026-09-10T18:00:00+00:00")
+        K.coverage_report(lake, manifest, "demo", "2026-09-10", "2026-09-10T18:00:00+00:00", v)
     assert K.migrate(lake, manifest) == 4 and lake.version("metric_inputs") is None
     assert K.migrate(lake, manifest, apply=True) == 4
+    origins = K._scan(lake, "metric_input_origins", K.ORIGINS).collect()
+    assert len(origins) == 4 and all(json.loads(x.manifest)["snapshots"]["route_window_metrics"] == 1 for x in origins)
     with pytest.raises(RuntimeError):
         K.migrate(lake, manifest, apply=True)  # the ledger has moved on
     with open(tmp_path / "m2.json", "w") as f:

@@ -108,8 +108,12 @@ def test_coverage_exclusions_and_errors(spark):
     assert ex(r) == {"schedule_version": 4} and counts(r)[4] == 3
     off = dict(calendar_dates="service_id,date,exception_type\ndaily,20260910,2\n")
     assert report(spark, feed(), "2026-09-10T16:00:00+00:00", **off).routes.count() == 0
-    with pytest.raises(ValueError, match="conflicting"):
-        report(spark, [feed()[0], {**feed()[0], "vehicle_id": "V9"}], "2026-09-10T16:00:00+00:00")
+    with pytest.raises(Exception, match="conflicting"):
+        report(spark, [feed()[0], {**feed()[0], "vehicle_id": "V9"}], "2026-09-10T16:00:00+00:00").trips.collect()
+    few = dict(stop_times="trip_id,arrival_time,departure_time,stop_id,stop_sequence\nT1,08:00:00,08:00:00,S1,1\nT2,08:00:00,08:00:00,S1,1\n")
+    with pytest.raises(Exception, match="no stop times for scheduled trip T3"):
+        report(spark, feed(), "2026-09-10T16:00:00+00:00", **few).trips.collect()
+    assert [x.trip_id for x in report(spark, feed(), "2026-09-10T16:00:00+00:00").trips.collect()] == ["T1", "T2", "T3"]
     with pytest.raises(ValueError, match="grace"):
         C.coverage(None, None, None, agency="a", version="v", zone="UTC", service_date="2026-09-10", as_of=0, grace_seconds=-1)
 

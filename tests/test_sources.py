@@ -206,3 +206,80 @@ def test_migration_recovers_a_missing_ledger(spark):
         R.migration(route_windows(e), frame(spark, VISITS + [event("x", 291000, delay=5)]), empty)
     with pytest.raises(ValueError):
         R.migration(route_windows(e), e, empty, source="live-v3")
+
+
+EVENT_AVRO = {
+    "type": "record",
+    "name": "Event",
+    "fields": [
+        {"name": "event_id", "type": "string"},
+        {"name": "observed_at", "type": "long"},
+        {"name": "delay", "type": ["null", "int"], "default": None},
+        {"name": "place", "type": ["null", {"type": "record", "name": "Place", "fields": [{"name": "lat", "type": "double"}, {"name": "ok", "type": "boolean"}]}]},
+        {"name": "stops", "type": {"type": "array", "items": "string"}},
+    ],
+}
+
+
+def test_containers_of_one_record(spark):
+    from pyspark.sql import functions as F
+
+    from tramline.sources import avro
+
+    rows = [("e1", -5, None, None, []), ("é2", 2**62, -70000, (1.5, True), ["S1", ""])]
+    ddl = "event_id string, observed_at long, delay int, place struct<lat:double,ok:boolean>, stops array<string>"
+    df = spark.createDataFrame(rows, ddl)
+    packed = df.select(avro.to_container(F.struct(*df.columns), EVENT_AVRO).alias("m"))
+    assert sorted(map(tuple, packed.select(avro.from_container("m", ddl).alias("r")).select("r.*").collect())) == sorted(map(tuple, df.collect()))
+    one = avro.encode({"event_id": "x", "observed_at": 1, "delay": None, "place": None, "stops": []}, EVENT_AVRO)
+    # By hand: "x", 1, branch 0 twice, an empty array, in a block of one record.
+    assert one.endswith(b"\x02\x0c\x02x\x02\x00\x00\x00" + one[-16:]) and avro.decode(one)["event_id"] == "x"
+    for bad in (b"", b"Obj\x01", one[:-1], one + one[-16:], one[:-26] + b"\x04" + one[-25:], one.replace(b"null\x00", b"nill\x00", 1) if b"null\x00" in one else b"x"):
+        with pytest.raises((ValueError, KeyError)):
+            avro.decode(bad)
+    with pytest.raises(ValueError, match="one record"):
+        avro.decode(one[: one.index(b"\x02\x0c\x02x")])  # no block at all
+
+
+def test_feeds_are_one_to_eight_and_unique(tmp_path):
+    from tramline.sources import poll
+
+    def told(n, same=False, **more):
+        extra = "".join(f"{k} = {v}\n" for k, v in more.items())
+        path = tmp_path / "feeds.toml"
+        path.write_text("".join(f'[[feeds]]\nagency_id = "a"\nfeed_id = "f{0 if same else i}"\nurl = "http://example.test/{i}"\n{extra}' for i in range(n)))
+        return poll.feeds(str(path))
+
+    assert [f["feed_id"] for f in told(8, interval=5)] == [f"f{i}" for i in range(8)]
+    for n, same, more in ((0, False, {}), (9, False, {}), (2, True, {}), (1, False, {"interval": 0}), (1, False, {"url2": 1})):
+        if more == {"url2": 1}:
+            assert told(n, same, **more)
+            continue
+        with pytest.raises(ValueError):
+            told(n, same, **more)
+
+
+def test_raw_bodies_are_proved(spark, tmp_path):
+    from tramline.sources import poll
+    from tramline.sources.http_feed import SNAPSHOT
+    from tramline.sources.sinks import idempotent, raw_objects
+
+    snapshot = lambda i, body: (f"s{i}", "a", "f", 1, "http://x", 200, None, None, None, body)
+    split = lambda b: {"raw_objects": raw_objects(b).select("object_uri", "body"), "raw_feed_snapshots": raw_objects(b).drop("body")}
+    write = idempotent(split, str(tmp_path / "raw"))
+    write(spark.createDataFrame([snapshot(1, b"one"), snapshot(2, b"")], SNAPSHOT), 0)
+    write(spark.createDataFrame([snapshot(1, b"one")], SNAPSHOT), 1)
+    got = {r.snapshot_id: bytes(r.body) for r in poll.raw_bodies(spark, str(tmp_path / "raw")).collect()}
+    assert got == {"s1": b"one", "s2": b""}
+
+
+def test_two_audit_streams_are_one(spark, tmp_path):
+    from tramline.sources import poll
+
+    spark.createDataFrame([("e1", 5)], "event_id string, observed_at long").write.parquet(str(tmp_path / "late"))
+    spark.createDataFrame([(7, "bad")], "fetched_at long, reason string").write.parquet(str(tmp_path / "rej"))
+    rows = poll.audit(spark, str(tmp_path / "late"), str(tmp_path / "rej"), "event_id string, observed_at long", "fetched_at long, reason string")
+    q = rows.writeStream.format("memory").queryName("audit_rows").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = {(r.topic, r.observed_at) for r in spark.table("audit_rows").collect()}
+    assert got == {("late_events", 5), ("rejected_events", 7)}

@@ -1,4 +1,4 @@
-"""python -m tramline VERB --lake FOLDER ...: load-schedule, pin, replay, coverage, migrate-inputs, query, quality."""
+"""python -m tramline --lake FOLDER VERB ...: load-schedule, pin, pin-coverage, replay, coverage, migrate-inputs, query, quality, poll."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from tramline import commands
+from tramline.sources import poll
 from tramline.sources.lake import Lake
 
 
@@ -23,6 +24,13 @@ def main(argv: list[str] | None = None) -> int:
     v = verbs.add_parser("pin")
     v.add_argument("manifest")
     v.add_argument("--generation", default="live-v2")
+    v = verbs.add_parser("pin-coverage")
+    v.add_argument("manifest")
+    v = verbs.add_parser("poll")
+    v.add_argument("config")
+    v.add_argument("--outbox", required=True)
+    v.add_argument("--checkpoint", required=True)
+    v.add_argument("--once", action="store_true")
     v = verbs.add_parser("replay")
     v.add_argument("manifest")
     v.add_argument("generation")
@@ -31,6 +39,8 @@ def main(argv: list[str] | None = None) -> int:
     v.add_argument("--agency", required=True)
     v.add_argument("--service-date", required=True)
     v.add_argument("--as-of", required=True)
+    v.add_argument("--schedule-version", required=True)
+    v.add_argument("--report")
     v.add_argument("--grace-seconds", type=int, default=300)
     v = verbs.add_parser("migrate-inputs")
     v.add_argument("manifest")
@@ -46,15 +56,21 @@ def main(argv: list[str] | None = None) -> int:
         with open(a.manifest) as f:
             manifest = json.load(f)
     if a.verb == "load-schedule":
-        with open(a.archive, "rb") as f:
-            print(commands.load_schedule(lake, f.read(), a.agency, a.effective_from))
+        print(commands.load_schedule(lake, commands.fetch_archive(a.archive), a.agency, a.effective_from))
+    elif a.verb == "pin-coverage":
+        print(json.dumps(commands.pin_coverage(lake, a.manifest)))
+    elif a.verb == "poll":
+        for q in poll.start(spark, poll.feeds(a.config), lake.root, a.outbox, a.checkpoint, once=a.once):
+            q.awaitTermination()
     elif a.verb == "pin":
         print(json.dumps(commands.pin(lake, a.generation, path=a.manifest)))
     elif a.verb == "replay":
         print(commands.replay_pinned(lake, manifest, a.generation).count())
     elif a.verb == "coverage":
-        r = commands.coverage_report(lake, manifest, a.agency, a.service_date, a.as_of, a.grace_seconds)
-        r.routes.orderBy("route_id", "direction_id").show(truncate=False)
+        r = commands.coverage_report(lake, manifest, a.agency, a.service_date, a.as_of, a.schedule_version, a.grace_seconds)
+        if a.report:
+            commands.write_report(r, a.report)
+        r.routes.show(truncate=False)
         print(json.dumps(r.header))
     elif a.verb == "migrate-inputs":
         print(commands.migrate(lake, manifest, a.apply))
