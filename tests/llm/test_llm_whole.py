@@ -116,3 +116,27 @@ def test_words_made_to_share_a_polynomial_hash(spark):
         if tuple(own[k : k + 50]) in seen:
             covered.update(range(k, k + 50))
     assert gone[4] == 60 and gone[2] == 0 and gone[6] == len(covered)
+
+
+def test_components_of_stars_chains_and_loops(spark):
+    """A star of 300 around its largest and its smallest node, a chain, loops and repeats, dealt in 3 parts a node."""
+    import random
+
+    from tramline.llm.graph import components
+
+    rng = random.Random(3)
+    edges = [(0, k) for k in range(1, 300)] + [(999, 400 + k) for k in range(300)] + [(1000 + k, 1001 + k) for k in range(40)] + [(5, 5), (1, 0), (2000, 2000)]
+    edges += [(3000 + rng.randrange(60), 3000 + rng.randrange(60)) for _ in range(45)]
+    root = {x: x for e in edges if e[0] != e[1] for x in e}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = sorted((top(a), top(b)))
+            root[y] = x
+    got = components(spark.createDataFrame(edges, "a long, b long"), salts=3).collect()
+    assert sorted((r.node, r.component) for r in got) == sorted((x, top(x)) for x in root)
