@@ -122,3 +122,47 @@ def test_lag(spark):
     rows = [("g", "t", 10, 30, c) for c in (12, None, 2, 50)]
     got = R.lag(spark.createDataFrame(rows, "group string, topic string, low long, high long, committed long")).first().lag
     assert got == 18 + 20 + 20 + 0
+
+
+def test_the_whole_job(spark, tmp_path):
+    """Duplicates, late, unknown and unscheduled events go where they belong; a second start goes on from the first."""
+    from tests.test_schedules import T0, load
+    from tramline.operators.schedules import enrich
+    from tramline.streaming import job as J
+
+    _, t, versions = load(spark)
+    versions = versions.select("agency_id", "schedule_version", "effective_from")
+    source, root, n = tmp_path / "in", str(tmp_path / "tables"), 0
+    source.mkdir()
+    versions.coalesce(1).write.parquet(str(tmp_path / "versions"))
+
+    def put(*events):
+        nonlocal n
+        n += 1
+        frame(spark, events).coalesce(1).write.parquet(str(tmp_path / f"part{n}"))
+        for f in (tmp_path / f"part{n}").glob("*.parquet"):
+            shutil.copy(f, source / f"{n:03d}.parquet")
+
+    def run(checkpoint="ck"):
+        events = spark.readStream.schema(J.EVENT).option("maxFilesPerTrigger", 1).parquet(str(source))
+        announced = spark.readStream.schema(J.VERSION).parquet(str(tmp_path / "versions"))
+        running = J.start_job(spark, events, announced, t, root, str(tmp_path / checkpoint), Settings(wait_deadline=0), {"availableNow": True})
+        J.stop_job(running)
+        return {name: sorted(r.event_id for r in rows.select("event_id").collect()) for name, rows in J.job_tables(spark, root).items() if name != "metrics"}
+
+    first = [event("e1", T0, **VISIT), event("e2", T0 + 20_000, trip_id="T2", **VISIT)]
+    put(*first, first[0], event("u", T0, trip_id="TX", **VISIT), event("o", T0, agency_id="other", **VISIT))
+    put(event("far", T0 + 3_000_000, trip_id="T3", **VISIT))
+    put(event("old", T0, **VISIT))
+    got = run()
+    assert got["admitted"] == ["e1", "e2", "far", "o", "u"] and got["late_events"] == ["old"]
+    assert got["unmatched"] == ["o", "u"] and got["enriched_events"] == got["ledger"] == ["e1", "e2", "far"]
+    assert {r.event_id: r.unmatched_reason for r in J.job_tables(spark, root)["unmatched"].collect()} == {"o": "schedule_unavailable", "u": "unknown_trip"}
+    put(event("new", T0 + 3_020_000, **VISIT), event("new", T0 + 3_020_000, **VISIT))
+    again = run()
+    assert again["enriched_events"] == again["ledger"] == ["e1", "e2", "far", "new"]
+    key = lambda df: sorted((r.generation, r.window_start, r.route_id, r.input_digest, r.headway_count) for r in df.collect())
+    batch = enrich(frame(spark, first), versions, t["trips"], t["calendar"], t["calendar_dates"])
+    assert key(J.job_tables(spark, root)["metrics"]) == sorted(key(route_windows(batch)) + key(cross_windows(batch)))
+    with pytest.raises(RuntimeError):
+        run("lost")

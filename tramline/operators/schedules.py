@@ -77,7 +77,12 @@ def enrich(events: DataFrame, versions: DataFrame, trips: DataFrame, calendar: D
     Where a reason is given, service_date is null and the event keeps its own route. Schedule tables carry
     schedule_version and join on it, so no version's rows meet another's.
     """
-    rows = choose_version(events.drop("schedule_version"), versions).withColumn("start_date", F.col("payload.trip.start_date"))
+    return match_trips(choose_version(events.drop("schedule_version"), versions), trips, calendar, calendar_dates)
+
+
+def match_trips(rows: DataFrame, trips: DataFrame, calendar: DataFrame, calendar_dates: DataFrame) -> DataFrame:
+    """The same for events that have their chosen_version already."""
+    rows = rows.withColumn("start_date", F.col("payload.trip.start_date"))
     t = trips.select(F.col("schedule_version").alias("_v"), F.col("trip_id").alias("_t"), "service_id", F.col("route_id").alias("_route"), F.col("direction_id").alias("_direction"))
     rows = rows.join(t, (F.col("chosen_version") == F.col("_v")) & (F.col("trip_id") == F.col("_t")), "left").drop("_v", "_t").withColumnRenamed("chosen_version", "schedule_version")
     rows = with_activity(rows, calendar, calendar_dates)
