@@ -22,6 +22,7 @@ from tramline.plans import oracles as O
 from tramline.plans.adapter import as_events, observations, observed, one_day, schedule, stop_times, table
 from tramline.plans.config import WINDOW_KEY, Settings
 from tramline.plans.model import METRIC
+from tramline.streaming import job as SJ
 from tramline.streaming import processors as SP
 from tramline.streaming import runner as ST
 
@@ -495,7 +496,10 @@ def _stream(spark, d):
 
 
 def _folder(spark) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    root = root or "file:///tmp/checkpoints"
     return f"{root.rstrip('/')}/tramline-stream-{uuid.uuid4().hex}"
 
 
@@ -539,3 +543,15 @@ def stream_window_v2(spark, d):
 @query(f"WITH RECURSIVE {O.accepted(O.M5, 7_200_000)} SELECT * FROM ({O.v3_rows(O.M5, 7_200_000)}) WHERE {_ALL}")
 def stream_window_v3(spark, d):
     return _stream_metrics(spark, d, "live-v3")
+
+
+@query(ORACLES["schedule_enrich"])
+def stream_job(spark, d):
+    """The whole job, from events and announced versions to its tables; what its enrichment has written, matched or not."""
+    root, s = _folder(spark), schedule(spark, d)
+    s["versions"].write.parquet(f"{root}/versions")
+    announced = spark.readStream.schema(SJ.VERSION).parquet(f"{root}/versions")
+    SJ.start_job(spark, _stream(spark, d), announced, s, f"{root}/tables", f"{root}/checkpoint", FIVE, {"availableNow": True})
+    tables = SJ.job_tables(spark, f"{root}/tables")
+    rows = tables["enriched_events"].unionByName(tables["unmatched"])
+    return rows.select("event_id", "schedule_version", "route_id", "direction_id", "service_date", "unmatched_reason")
