@@ -16,35 +16,41 @@ from tramline.sources.sinks import idempotent
 VISITS = "agency_id string, route_id string, direction_id int, service_date string, stop_id string, trip_id string, observed_at long, event_id string"
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(f"{schema}, batch_id long").parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], f"{schema}, batch_id long")
+def _live(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """The visits that the batch before carried on. It is an error if they are gone: windows would lose what they look back to."""
+    if batch_id == 0:
+        return spark.createDataFrame([], VISITS)
+    return spark.read.schema(VISITS).parquet(f"{root}/live/batch_id={batch_id - 1}")
 
 
 def windows_batch(root: str, settings: Settings = Settings()):
     """For foreachBatch over gate(): ledger and late rows, metrics within and across windows, and the visits that count.
 
-    Windows close in order of time, so the visits of earlier batches are all that a window looks back to. A replayed
-    batch reads only batches before it and writes the same rows to the same place.
+    Visits that a window to come can look back to are carried on from batch to batch as the table `live`: a batch reads
+    that of the batch before it and no other. Windows close in order of time on all routes, so that those which close
+    later begin at least a window after the last that closed; visits more than the lookback before that have expired. A
+    replayed batch reads the same table again and writes the same rows to the same place.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
 
         def split(rows: DataFrame) -> dict[str, DataFrame]:
-            closed = rows.where("outcome = 'closed'").drop("outcome", "window_start")
-            keys = closed.groupBy(*ROUTE_KEY).agg(F.min("observed_at").alias("_least"))
-            old = _read(spark, f"{root}/visits", VISITS).where(F.col("batch_id") < batch_id).drop("batch_id")
-            old = old.join(keys, ROUTE_KEY).where(F.col("observed_at") >= F.col("_least") - settings.window - settings.lookback).drop("_least")
+            closed = rows.where("outcome = 'closed'")
+            last = closed.agg(F.max("window_start")).first()[0]
+            closed = closed.drop("outcome", "window_start")
+            live = _live(spark, root, batch_id)
+            old = live.join(closed.select(*ROUTE_KEY).distinct(), ROUTE_KEY, "left_semi")
             visits = accepted_visits(windowed(closed, settings), settings, old).where(~F.col("earlier")).drop("earlier")
             metrics = route_windows(closed, settings).unionByName(cross_windows(closed, settings, history=old), allowMissingColumns=True)
-            return {"ledger": rows.where("outcome = 'admitted'").drop("outcome"), "late": rows.where("outcome = 'late'").drop("outcome"), "visits": visits, "metrics": metrics}
+            live = live.unionByName(visits)
+            if last is not None:
+                live = live.where(F.col("observed_at") >= last + settings.window - settings.lookback)
+            return {"ledger": rows.where("outcome = 'admitted'").drop("outcome"), "late": rows.where("outcome = 'late'").drop("outcome"), "visits": visits, "live": live, "metrics": metrics}
 
         idempotent(split, root)(batch, batch_id)
+        gone = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/live/batch_id={batch_id - 2}")  # no replay reaches back to it
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
 
     return write
 
