@@ -2,14 +2,21 @@
 
 import shutil
 import time
+import urllib.request
 
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tests.helpers import event, frame
+from tramline import commands
+from tramline.functions.scalars import window_start
+from tramline.operators import serving
 from tramline.operators.headways import cross_windows
 from tramline.operators.windows import route_windows
 from tramline.plans.config import Settings
 from tramline.plans.model import ENRICHED, METRIC
+from tramline.streaming import metrics as M
 from tramline.streaming import processors as P
 from tramline.streaming import runner as R
 
@@ -72,6 +79,75 @@ def test_windows_close_once_and_never_reopen(spark, tmp_path):
     assert key(read("metrics", METRIC).where("agency_id = 'demo'")) == sorted(key(route_windows(events)) + key(cross_windows(events)))
 
 
+def test_visits_are_carried_until_they_expire(spark, tmp_path):
+    """Each batch reads what the one before it carried on, and the windows are those of one run over all events."""
+    s, root = Settings(lookback=600_000), str(tmp_path)
+    batches = [[event("a", 10_000, **VISIT)], [event("b", 310_000, trip_id="T2", **VISIT)], [], [event("c", 1_300_000, trip_id="T3", **VISIT)]]
+    live = {}
+    for n in (0, 1, 2, 3, 3):  # the last is replayed
+        closed = frame(spark, batches[n]).withColumn("window_start", window_start("observed_at", s.window)).withColumn("outcome", F.lit("closed"))
+        R.windows_batch(root, s)(closed, n)
+        live[n] = sorted(r.event_id for r in spark.read.schema(R.VISITS).parquet(f"{root}/live/batch_id={n}").collect())
+    assert live == {0: ["a"], 1: ["a", "b"], 2: ["a", "b"], 3: ["c"]}
+    assert sorted(p.name for p in (tmp_path / "live").glob("batch_id=*")) == ["batch_id=2", "batch_id=3"]
+    key = lambda df: sorted((r.window_start, r.input_digest, r.arrival_count, r.headway_count, r.context_event_count) for r in df.collect())
+    got = spark.read.schema(METRIC).parquet(f"{root}/metrics").where("generation = 'live-v3'")
+    assert key(got) == key(cross_windows(frame(spark, [e for b in batches for e in b]), s)) and len(key(got)) == 3
+    with pytest.raises(AnalysisException):
+        R.windows_batch(root, s)(closed, 9)  # what the batch before carried on is gone
+
+
+def test_serving_follows_the_metrics(spark, tmp_path):
+    events = frame(spark, [event("a", 10_000, **VISIT), event("b", 310_000, trip_id="T2", **VISIT)])
+    root = str(tmp_path / "tables")
+    for n, metrics in enumerate([route_windows(events.where("event_id = 'a'")), route_windows(events)]):
+        metrics.write.parquet(f"{root}/metrics/batch_id={n}")
+        commands.serve(spark, f"{root}/metrics", str(tmp_path / "serving"), str(tmp_path / "ck"), once=True).awaitTermination()
+    want = serving.latest(serving.serving_rows(spark.read.schema(METRIC).parquet(f"{root}/metrics").drop("batch_id")))
+    rows = lambda df: [(r.window_start, r.version, r.record_json) for r in df.collect()]
+    got = commands.served(spark, str(tmp_path / "serving"))
+    assert rows(got) == rows(want) and [r.window_start for r in got.collect()] == [0, 300_000]
+
+
+def test_figures_as_text(spark):
+    p = R.Progress()
+    p.rows = [("q\"1", 0, 5, 2.5, None, 1), ("q\"1", 1, 7, 3.5, None, 0), ("q\"1", 1, 7, 3.5, None, 0)]
+    samples = M.of_progress(p.frame(spark))
+    body = M.text(samples.unionByName(M.of_lag(spark.createDataFrame([("g", "t", 58)], "group string, topic string, lag long"))))
+    assert 'tramline_input_rows_total{query="q\\"1"} 12.0\n' in body and 'tramline_late_rows_total{query="q\\"1"} 1.0\n' in body
+    assert 'tramline_rows_per_second{query="q\\"1"} 3.5\n' in body and 'tramline_lag{group="g",topic="t"} 58.0\n' in body
+    assert "# TYPE tramline_input_rows_total counter\n" in body
+    server = M.endpoint(lambda: body)
+    try:
+        with urllib.request.urlopen(f"http://127.0.0.1:{server.server_port}/metrics", timeout=10) as r:
+            assert r.read().decode() == body
+    finally:
+        server.shutdown()
+
+
+def test_log_boundaries():
+    offsets = lambda **parts: '{"t": {%s}}' % ", ".join(f'"{k[1:]}": {v}' for k, v in parts.items())
+    logs = {"startOffset": offsets(p0=10), "endOffset": offsets(p0=12), "latestOffset": offsets(p0=30, p1=4)}
+    got = M.boundaries({"name": "q", "sources": [logs, {"startOffset": None, "endOffset": '{"logOffset": 3}', "latestOffset": None}, {"endOffset": "none"}]})
+    assert got == [("q", "t", 10, 30, 12), ("q", "t", 0, 4, None)]
+
+
+def test_progress_of_a_running_query(spark, tmp_path):
+    p = R.Progress()
+    spark.streams.addListener(p)
+    try:
+        f = Feed(spark, tmp_path, lambda s: s.select("event_id"))
+        f.put(event("a", 1), event("b", 2))
+        f.run()
+        deadline = time.time() + 30
+        while time.time() < deadline and sum(r[2] for r in p.rows) < 2:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(p)
+    got = {r["name"]: r["value"] for r in M.of_progress(p.frame(spark)).where("labels['query'] = 'test'").collect()}
+    assert got["input_rows_total"] == 2 and got["late_rows_total"] == 0
+
+
 def test_native_windows_equal_the_batch(spark, tmp_path):
     events = [event(f"e{k}", 1_000_000 + 100_000 * k, trip_id=f"T{k % 3}", **VISIT) for k in range(20)]
     f = Feed(spark, tmp_path, lambda s: P.final_windows(s.select("event_id", "observed_at", "agency_id", "route_id", "direction_id", "service_date")))

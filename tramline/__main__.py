@@ -1,4 +1,4 @@
-"""python -m tramline --lake FOLDER VERB ...: load-schedule, pin, pin-coverage, replay, coverage, migrate-inputs, query, quality, poll."""
+"""python -m tramline --lake FOLDER VERB ...: load-schedule, pin, pin-coverage, replay, coverage, migrate-inputs, query, serve, quality, poll."""
 
 from __future__ import annotations
 
@@ -47,6 +47,11 @@ def main(argv: list[str] | None = None) -> int:
     v.add_argument("--apply", action="store_true")
     v = verbs.add_parser("query")
     v.add_argument("--generation", default="live-v2")
+    v = verbs.add_parser("serve")
+    v.add_argument("metrics")
+    v.add_argument("--serving", required=True)
+    v.add_argument("--checkpoint", required=True)
+    v.add_argument("--once", action="store_true")
     verbs.add_parser("quality")
     a = p.parse_args(argv)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -74,6 +79,8 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(r.header))
     elif a.verb == "migrate-inputs":
         print(commands.migrate(lake, manifest, a.apply))
+    elif a.verb == "serve":
+        commands.serve(spark, a.metrics, a.serving, a.checkpoint, a.once).awaitTermination()
     elif a.verb == "query":
         commands.query(lake, a.generation).show(truncate=False)
     else:

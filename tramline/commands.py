@@ -18,6 +18,8 @@ from tramline.plans.config import Settings
 from tramline.plans.model import ENRICHED, METRIC, SCHEDULE_TABLES
 from tramline.sources import archive
 from tramline.sources.lake import Lake
+from tramline.sources.sinks import committed, idempotent
+from tramline.streaming.runner import start
 
 LEDGER = ENRICHED + ", generation string"
 ORIGINS = "event_id string, generation string, origin string, manifest string"
@@ -185,6 +187,22 @@ def query(lake: Lake, generation: str = "live-v2") -> DataFrame:
     return serving.latest(serving.serving_rows(_scan(lake, "route_window_metrics", METRIC)), generation)
 
 
+def serve(spark: SparkSession, metrics: str, root: str, checkpoint: str, once: bool = False):
+    """A query that inserts the metrics written to a folder into a serving table, as they come; `once`: those that are there.
+
+    A file counts as read once its rows are inserted. What is inserted again has the same keys and versions, so that
+    readers of the latest version see no difference; a file that a replayed batch has replaced is read as the new one.
+    """
+    rows = spark.readStream.schema(_schema(spark, METRIC)).option("ignoreMissingFiles", "true").parquet(metrics)
+    write = idempotent(lambda batch: {"serving": serving.serving_rows(batch.select(*_schema(spark, METRIC).names))}, root)
+    return start(rows, "serving", checkpoint, write, trigger={"availableNow": True} if once else None)
+
+
+def served(spark: SparkSession, root: str, generation: str = "live-v2") -> DataFrame:
+    """The latest version of each key in a serving table."""
+    return serving.latest(committed(spark, root, "serving"), generation)
+
+
 def check(lake: Lake) -> dict[str, int]:
     """Rows that break each assertion."""
     return {name: df.count() for name, df in quality.run(_scan(lake, "route_window_metrics", METRIC)).items()}
