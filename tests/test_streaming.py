@@ -242,3 +242,39 @@ def test_the_whole_job(spark, tmp_path):
     assert key(J.job_tables(spark, root)["metrics"]) == sorted(key(route_windows(batch)) + key(cross_windows(batch)))
     with pytest.raises(RuntimeError):
         run("lost")
+
+
+def test_state_is_by_lot_and_rows_come_through_whole(spark, tmp_path):
+    """Many ids, windows and events of one agency: few states, each event once, and nothing of it changed."""
+    n = 3000
+    events = [event(f"é{k}", 1_000_000 + 1_000 * k, trip_id=f"T{k % 7}", stop="S\n\"1", delay=k % 90, vehicle_id=None if k % 5 else "V", route_id=f"R{k % 11}") for k in range(n)]
+    for name in ("admission", "gate", "wait"):
+        (tmp_path / name).mkdir()
+        f = Feed(spark, tmp_path / name, None)
+        if name == "wait":
+            ddl = "agency_id string, kind string, at long, schedule_version string, record string"
+            rows = [("a", "event", k, None, str(k)) for k in range(n)] + [("a", "version", 10, "v1", None), ("a", "version", 1000, "v3", None), ("a", "version", 1000, "v2", None)]
+            spark.createDataFrame(rows, ddl).write.parquet(str(tmp_path / name / "rows"))
+            out = P.wait_for_schedule(spark.readStream.schema(ddl).parquet(str(tmp_path / name / "rows")), Settings(wait_rows=6, wait_deadline=0))
+            q = R.start(out, name, str(tmp_path / name / "ck"), path=str(tmp_path / name / "out"), trigger={"once": True})
+        else:
+            f.put(*events[: n // 2], *events[:9])
+            f.put(*events[n // 2 :])
+            f.put(event("far", 9_000_000))
+            source = spark.readStream.schema(ENRICHED).option("maxFilesPerTrigger", 1).parquet(str(f.at / "in"))
+            out = P.admit(source) if name == "admission" else P.gate(source)
+            q = R.start(out, name, str(f.at / "ck"), path=str(f.at / "out"), trigger={"availableNow": True})
+        q.awaitTermination()
+        assert max(s["numRowsUpdated"] for p in q.recentProgress for s in p["stateOperators"]) <= 1024  # entries of 256 lots with their timers, not of each row
+        got = spark.read.schema(out.schema).parquet(str(tmp_path / name / "out"))
+        if name == "wait":
+            seen = {int(r.record): (r.schedule_version, r.unmatched_reason) for r in got.collect()}
+            assert len(seen) == got.count() == n and all(seen[k] == ("v3" if k >= 1000 else "v1", None) for k in range(10, n))
+            early = sorted(seen[k][1] for k in range(10))
+            assert early == ["schedule_buffer_full"] * 4 + ["schedule_unavailable"] * 6
+            continue
+        want_columns = frame(spark, events[:1]).columns
+        want = frame(spark, events).select(F.to_json(F.struct("*")).alias("j"))
+        left = got.where(("outcome = 'admitted'" if name == "admission" else "outcome = 'closed'") + " AND event_id <> 'far'").dropDuplicates(["event_id"])
+        assert sorted(r.j for r in left.select(F.to_json(F.struct(*want_columns)).alias("j")).collect()) == sorted(r.j for r in want.collect())
+        assert got.where("outcome = 'admitted'").count() == (n + 1 if name == "admission" else n + 10)

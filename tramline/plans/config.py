@@ -19,6 +19,8 @@ class Settings:
     wait_rows: int = 1000
     wait_deadline: int = 60_000
     wait_retry: int = 1_000
+    #: Into so many lots a stream deals its rows; each has a state of its own.
+    lots: int = 256
 
 
 #: The window key; a route key is the same without the window.
