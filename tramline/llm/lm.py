@@ -41,7 +41,12 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
     ids, held, sizes, hashes, shapes, held_bytes = [], [], [], [], [], 0
 
     def block():
-        types, first, places = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        words = np.concatenate(hashes)
+        order = np.argsort(words)  # any row of a word will do: its shape is that of the others
+        words = words[order]
+        new = np.concatenate(([True], words[1:] != words[:-1]))
+        types, first, places = words[new], order[new], np.empty(len(words), np.uint32)
+        places[order] = np.cumsum(new, dtype=np.uint32) - np.uint32(1)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([(task << 24) + number], pa.int64()),
@@ -50,7 +55,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
                 pa.array([np.concatenate(sizes).astype(np.int32)], pa.list_(pa.int32())),
                 pa.array([types.tobytes()], pa.binary()),
                 pa.array([np.concatenate(shapes)[first].tobytes()], pa.binary()),
-                pa.array([press(places.astype(np.uint32).reshape(-1, 1).view(np.uint8).reshape(-1, 4).T.tobytes())], pa.binary()),
+                pa.array([press(places.reshape(-1, 1).view(np.uint8).reshape(-1, 4).T.tobytes())], pa.binary()),
             ],
             ["block", "docs", "held", "sizes", "types", "shapes", "tokens"],
         )
@@ -145,6 +150,12 @@ def _frequent(counted: DataFrame, vocabulary: int) -> np.ndarray:
     return np.array([(r.type, r.n, r.shape) for r in rows], np.int64).reshape(-1, 3)
 
 
+def taught(ids: np.ndarray, held: np.ndarray, turn: int, rounds: int, seed: int) -> np.ndarray:
+    """Places of the training documents that are taught in this round when they are told apart by doc_id."""
+    lot = (mix(ids.view(np.uint64) + _U(seed)) >> _U(11)) / 2.0**53 * rounds
+    return np.flatnonzero((lot.astype(np.int64) == turn) & ~held)
+
+
 def _added(key, group):
     """Sums of weighted parameters of one slice."""
     total = np.sum([np.frombuffer(x, np.float64) for x in group.column("sum").to_pylist()], 0)
@@ -152,7 +163,7 @@ def _added(key, group):
     return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "of": pa.array([key[1].as_py() if len(key) > 1 else 0], pa.int32()), "n": pa.array([n], pa.int64()), "sum": pa.array([total.tobytes()], pa.binary())})
 
 
-def score_documents(docs: DataFrame, held_out, vocabulary: int = 2000, per: int = 40, hidden: int = 32, share: float = 0.25, rounds: int = 4, block_bytes: int = 8 << 20, part_types: int = 1 << 22, seed: int = 5) -> DataFrame:
+def score_documents(docs: DataFrame, held_out, vocabulary: int = 2000, per: int = 40, hidden: int = 32, rounds: int = 4, block_bytes: int = 8 << 20, part_types: int = 1 << 22, most_tokens: int = 1 << 22, seed: int = 5) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the words of the text, A-Z in lower case, and its end; null text counts as empty and is its end alone.
@@ -162,10 +173,11 @@ def score_documents(docs: DataFrame, held_out, vocabulary: int = 2000, per: int
     of frequent classes come from the network, words of rare classes from add-one counts of the whole corpus. Rows that
     share a doc_id are rows of their own. Other columns are ignored. No rows give no rows.
 
-    The network learns from `share` of all training documents, picked by their doc_id, at every size of corpus, the long ones
-    whole: in each of `rounds` rounds every task goes on from the model so far over its own documents of that round, by
-    truncated backpropagation, and the models are averaged, weighted by tokens, on the executors. Only the parameters, a
-    fixed number, reach the driver. Counts, vocabulary, classes and shares of rare words are over all training documents. Words
+    The network learns from every token of all training documents, at every size of corpus. A document is taught in one of
+    `rounds` rounds, with its block or, where blocks are few, by its doc_id: every task goes on from the model so far over its
+    own documents of that round, by truncated backpropagation, `most_tokens` or a document more at a time, and the models are
+    averaged, weighted by tokens, on the executors. Only the parameters, a fixed number, reach the driver. Counts,
+    vocabulary, classes and shares of rare words are over all training documents. Words
     are known by 64-bit hashes, mixed over all their bytes.
     """
     texts = keyed(docs).withColumn("held", F.coalesce(held_out, F.lit(False))).select("doc_id", "held", "text")
@@ -194,30 +206,44 @@ def score_documents(docs: DataFrame, held_out, vocabulary: int = 2000, per: int
         return np.where(lookup[at] == types, symbol[at], len(lookup) + shapes.astype(np.int32))
 
     model = Model(top[:, 1].astype(np.float64), seen.astype(np.float64), per, hidden, seed)
+    by_block = total["n"] >= 16 * rounds
+    place = F.pmod(F.shiftright("block", 24) + F.col("block").bitwiseAND(F.lit((1 << 24) - 1)), F.lit(rounds))  # the blocks of a task take turns
     for turn in range(rounds):
 
         def lesson(batches: Iterator[pa.RecordBatch], turn: int = turn, now: np.ndarray = model.flat()) -> Iterator[pa.RecordBatch]:
             """The model after this task's documents of the round, in slices."""
-            tokens, sizes = [], []
+            tokens, sizes, held, n = [], [], 0, 0
+            own = Model(top[:, 1].astype(np.float64), seen.astype(np.float64), per, hidden, seed).load(now)
+
+            def teach():
+                own.train(np.concatenate(tokens), np.concatenate(sizes).astype(np.int64), start, 1, rate=8e-3 * (1 - turn / rounds))
+
             for b in batches:
                 for row in range(b.num_rows):
                     ids = np.array([-1 if x is None else x for x in b.column("docs")[row].as_py()], np.int64)
-                    lot = (mix(ids.view(np.uint64) + _U(seed)) >> _U(11)) / 2.0**53 * rounds / share
-                    use = np.flatnonzero((lot.astype(np.int64) == turn) & ~_list(b.column("held")[row]).astype(bool))
-                    if len(use):
-                        got = symbols(np.frombuffer(b.column("types")[row].as_py(), np.uint64), np.frombuffer(b.column("shapes")[row].as_py(), np.uint8))
-                        seq, size = got[_places(b.column("tokens")[row].as_py())], _list(b.column("sizes")[row])
-                        first = np.cumsum(size) - size
-                        tokens += [seq[first[d] : first[d] + size[d]].astype(np.int32) for d in use]
-                        sizes.append(size[use])
-            if not tokens:
+                    out = _list(b.column("held")[row]).astype(bool)
+                    use = np.flatnonzero(~out) if by_block else taught(ids, out, turn, rounds, seed)
+                    if not len(use):
+                        continue
+                    got = symbols(np.frombuffer(b.column("types")[row].as_py(), np.uint64), np.frombuffer(b.column("shapes")[row].as_py(), np.uint8))
+                    seq, size = got[_places(b.column("tokens")[row].as_py())], _list(b.column("sizes")[row])
+                    first = np.cumsum(size) - size
+                    for d in use:
+                        tokens.append(seq[first[d] : first[d] + size[d]].astype(np.int32))
+                        sizes.append(size[d : d + 1])
+                        held += int(size[d])
+                        if held >= most_tokens:
+                            teach()
+                            tokens, sizes, held, n = [], [], 0, n + held
+            if tokens:
+                teach()
+                n += held
+            if not n:
                 return
-            own = Model(top[:, 1].astype(np.float64), seen.astype(np.float64), per, hidden, seed).load(now)
-            own.train(np.concatenate(tokens), np.concatenate(sizes).astype(np.int64), start, 1, rate=8e-3 * (1 - turn / rounds))
-            cut, n = np.array_split(own.flat(), _SLICES), int(sum(map(len, tokens)))
+            cut = np.array_split(own.flat(), _SLICES)
             yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), pa.array([TaskContext.get().partitionId() % 64] * _SLICES, pa.int32()), pa.array([n] * _SLICES, pa.int64()), pa.array([(n * c.astype(np.float64)).tobytes() for c in cut], pa.binary())], ["slice", "of", "n", "sum"])
 
-        learnt = blocks.select("docs", "held", "sizes", "types", "shapes", "tokens").mapInArrow(lesson, SUMS)
+        learnt = (blocks.where(place == turn) if by_block else blocks).select("docs", "held", "sizes", "types", "shapes", "tokens").mapInArrow(lesson, SUMS)
         sums = sorted(learnt.groupBy("slice", "of").applyInArrow(_added, SUMS).groupBy("slice").applyInArrow(_added, SUMS).collect())
         if sums:
             model.load(np.concatenate([np.frombuffer(r["sum"], np.float64) / r["n"] for r in sums]))
